@@ -75,6 +75,16 @@ def score(df: DataFrame, scaler: PipelineModel, model: LogisticRegressionModel)
     )
 
 
+def save(scaler: PipelineModel, model: LogisticRegressionModel, path: str) -> None:
+    scaler.write().overwrite().save(f"{path}/scaler")
+    model.write().overwrite().save(f"{path}/classifier")
+
+
+def load(path: str) -> tuple[PipelineModel, LogisticRegressionModel]:
+    scaler = PipelineModel.load(f"{path}/scaler")
+    return scaler, LogisticRegressionModel.load(f"{path}/classifier")
+
+
 def confusion(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     """The four confusion counts in one pass."""
     yes, hit = F.col(label) == 1, F.col("prediction") == 1

@@ -53,6 +53,28 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return keys.join(parent.select(F.col(pk).alias("value")), "value", "left_anti")
 
 
+def relationship_counts(
+    relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]],
+) -> DataFrame:
+    """Rows checked and orphaned per declared relation: (label, child, fk, parent, pk)."""
+    out = None
+    for label, child, fk, parent, pk in relations:
+        keys = (
+            child.filter(F.col(fk).isNotNull())
+            .groupBy(F.col(fk).alias("value"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        known = parent.select(F.col(pk).alias("value"), F.lit(True).alias("known")).distinct()
+        one = keys.join(known, "value", "left").agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_checked"),
+            F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("rows"))), F.lit(0)).alias(
+                "orphans"
+            ),
+        ).select(F.lit(label).alias("relation"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def domain(df: DataFrame, col: str, reference: DataFrame, ref_col: str) -> DataFrame:
     """Values missing from a reference table."""
     return relationships(df, col, reference, ref_col)

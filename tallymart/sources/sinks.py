@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import upsert
-from ..session import workspace
+from ..session import materialise, workspace
 
 YMD = ["year", "month", "day"]
 
@@ -32,6 +32,11 @@ def write_partitioned(
     )
 
 
+def write_json_days(df: DataFrame, path: str, day: str = "ingest_date") -> None:
+    """Write NDJSON, one folder per day."""
+    df.hint("rebalance", day).write.mode("overwrite").partitionBy(day).json(path)
+
+
 def upsert_partitioned(
     spark: SparkSession,
     path: str,
@@ -47,6 +52,8 @@ def upsert_partitioned(
     ones: the table is never overwritten while it is being read, and running the
     same batch again changes nothing.
     """
+    source = materialise(spark, source, "delta")  # read several times below
+    write_partitioned(source.limit(0), path, by, mode="append")  # a first load finds a table
     target = spark.read.schema(source.schema).parquet(path)
     touched = source.select(*by).distinct()
     current = target.join(touched, list(by), "left_semi").select(*source.columns)

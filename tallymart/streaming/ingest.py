@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_latest
 from ..operators.staging import stage_clickstream
-from ..sources.sinks import upsert_partitioned, write_partitioned
+from ..sources.sinks import upsert_partitioned
 from ..sources.warehouse import clickstream
 
 
@@ -110,16 +110,9 @@ def upsert_stream(
     order_by: Sequence[Column] = (),
 ) -> StreamingQuery:
     """Per batch: compute rows with ``build`` and merge them into a partitioned table."""
-    started = {"table": False}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = build(batch)
-        if not started["table"]:
-            # first batch of this run: create the table if the folder is still empty
-            write_partitioned(rows.limit(0), path, by, mode="append")
-            started["table"] = True
-        upsert_partitioned(spark, path, rows, keys, by, order_by)
+        upsert_partitioned(batch.sparkSession, path, build(batch), keys, by, order_by)
 
     return (
         source.writeStream.foreachBatch(merge)
