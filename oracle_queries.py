@@ -461,6 +461,8 @@ BODIES: dict[str, str] = {
       FROM daily_actions""",
     "feat_daily_activity": """SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue,
       CAST(avg_product_price AS DOUBLE) AS avg_product_price) FROM daily_activity""",
+    "feat_activity_from_log": """SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue,
+      CAST(avg_product_price AS DOUBLE) AS avg_product_price) FROM daily_activity""",
     "feat_label": "SELECT * FROM anchor",
     "feat_rolling_3d": "SELECT * FROM rolling",
     "feat_user_behavior_3d": "SELECT * FROM behaviour",

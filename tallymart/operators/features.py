@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_ratio
-from ..schemas import LABEL, TOTAL
+from ..schemas import ACTIONS, LABEL, MONEY, TOTAL
 
 DAY = ["user_id", "activity_date"]
 _SESSION_SUMS = ["sessions", "duration", "page_views", "actions", "purchase_sessions"]
@@ -87,6 +87,65 @@ def daily_activity(by_session: DataFrame, by_action: DataFrame) -> DataFrame:
     )
 
 
+def activity_from_log(sessions: DataFrame) -> DataFrame:
+    """``daily_activity`` straight from deduplicated records with their action arrays.
+
+    A record contributes one row for the session and one per action, on the day each
+    happened. Summing them together reads and deduplicates the log once, where the
+    two daily tables would do so twice and then need an outer join.
+    """
+    start = F.col("event_timestamp")
+    steps = F.filter("actions", lambda a: a.isNotNull())
+    rows = sessions.filter("user_id is not null").select(
+        "user_id",
+        start.alias("at"),
+        *[F.col(c) for c in ("duration_seconds", "page_views", "actions_count")],
+        "has_purchase",
+        "revenue",
+        # the leading null element stands for the session itself
+        F.posexplode(
+            F.concat(
+                F.array(F.lit(None).cast(ACTIONS[len("array<") : -1])),
+                F.coalesce(steps, F.array().cast(ACTIONS)),
+            )
+        ).alias("pos", "act"),
+    )
+    is_session = F.col("pos") == 0
+    happened = F.timestamp_seconds(
+        F.unix_timestamp("at") + F.coalesce("act.time_offset", F.lit(0))
+    )
+    kind = F.col("act.type")
+    per_product = rows.groupBy(
+        "user_id",
+        F.to_date(F.when(is_session, F.col("at")).otherwise(happened)).alias("activity_date"),
+        F.col("act.product_id").alias("product_id"),
+    ).agg(
+        F.count_if(is_session).alias("sessions"),
+        F.sum(F.when(is_session, F.col("duration_seconds"))).alias("duration"),
+        F.sum(F.when(is_session, F.col("page_views"))).alias("page_views"),
+        F.sum(F.when(is_session, F.col("actions_count"))).alias("actions"),
+        F.count_if(is_session & F.col("has_purchase")).alias("purchase_sessions"),
+        F.sum(F.when(is_session, F.col("revenue"))).alias("revenue"),
+        *[
+            F.count_if(kind == flag.removeprefix("is_")).alias(name)
+            for name, flag in _ACTION_SUMS.items()
+        ],
+        F.sum(F.col("act.price").try_cast(MONEY)).alias("price_sum"),
+        F.count(F.col("act.price").try_cast(MONEY)).alias("price_count"),
+    )
+    counts = [*_SESSION_SUMS, *_ACTION_SUMS]
+    average = F.sum("price_sum").cast("double") / F.nullif(
+        F.sum("price_count").cast("double"), F.lit(0.0)
+    )
+    zero = F.lit(0)
+    return per_product.groupBy(*DAY).agg(
+        *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in counts],
+        F.count("product_id").alias("distinct_products"),
+        F.coalesce(F.sum("revenue"), zero).cast(TOTAL).alias("revenue"),
+        F.coalesce(F.round(average, 6), zero).cast("decimal(18,6)").alias("avg_product_price"),
+    )
+
+
 def purchase_label() -> Column:
     bought = (F.col("purchase_sessions") > 0) | (F.col("purchase_count") > 0)
     return F.when(bought, 1).otherwise(0).cast("int")
@@ -164,6 +223,10 @@ def behaviour_features(rolled: DataFrame) -> DataFrame:
 
 def top_spenders(features: DataFrame, on: str | None = None, k: int = 20) -> DataFrame:
     """The ``k`` users with the highest three-day spend on one day (default: the last)."""
-    last = F.lit(on).cast("date") if on else features.agg(F.max("prediction_date")).scalar()
-    day = features.filter(F.col("prediction_date") == last)
-    return day.orderBy(F.desc("total_revenue_3d"), F.asc("user_id")).limit(k)
+    day = F.col("prediction_date")
+    if on is not None:
+        features = features.filter(day == F.lit(on).cast("date"))
+    # rows of the last day come first, so the k best rows hold all that are wanted
+    best = features.orderBy(F.desc(day), F.desc("total_revenue_3d"), F.asc("user_id")).limit(k)
+    last = F.max(day).over(Window.partitionBy())
+    return best.withColumn("_last", last).filter(day == F.col("_last")).drop("_last")

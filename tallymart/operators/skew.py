@@ -14,7 +14,9 @@ straight from a shuffle, which is not so behind a dedup; so the split is explici
    task assigns the same salt); right rows of a hot bucket are copied once per salt.
    Everything else keeps salt 0 and is neither copied nor moved twice.
 
-No row is dropped or sampled: the join result is the same as the plain one.
+No row is dropped or sampled: the join result is the same as the plain one. When
+Spark's own size estimate lets it broadcast the right side, no shuffle happens and
+the join is left plain.
 """
 
 from __future__ import annotations
@@ -27,6 +29,15 @@ from pyspark.sql import functions as F
 from ..session import shuffle_partitions
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark's estimate of ``df`` is below its broadcast threshold."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    digits = "".join(ch for ch in limit if ch.isdigit() or ch == "-")
+    unit = {"k": 2**10, "m": 2**20, "g": 2**30}.get(limit.lower().rstrip("b")[-1:], 1)
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= int(digits) * unit
+
+
 def _bucket(keys: Sequence[Column], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
@@ -68,6 +79,8 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     on = list(on)
+    if broadcastable(right):
+        return left.join(right, on, how)
     buckets = bucket_count(left)
     hot = hot_buckets((keys if keys is not None else left).select(*on), on, buckets)
     marked = {"_bucket": _bucket([F.col(c) for c in on], buckets)}

@@ -124,7 +124,6 @@ for _key, _name in {
     "dim_product": "dim_product",
     "fact_order": "fact_order",
     "fact_order_items": "fact_order_items",
-    "feat_daily_activity": "activity",
     "feat_rolling_3d": "rolling",
     "feat_user_behavior_3d": "behaviour",
 }.items():
@@ -191,6 +190,19 @@ def _(lake):
     return features.daily_actions(lake.actions)
 
 
+@query("feat_daily_activity")
+def _(lake):
+    """From the two daily tables, as when those are at hand."""
+    return features.daily_activity(
+        features.daily_sessions(lake.sessions), features.daily_actions(lake.actions)
+    )
+
+
+@query("feat_activity_from_log")
+def _(lake):
+    return lake.activity
+
+
 @query("feat_label")
 def _(lake):
     return features.label_anchor(lake.activity)
@@ -370,10 +382,11 @@ def _(lake):
 
 
 def _trained(lake):
+    """(model, scaler, features, test split); the scaler sees only the training rows."""
     feats = materialise(lake.spark, lake.behaviour, "features")
     train, test = propensity.split(feats)
     vectors, scaler = propensity.prepare(train)
-    return propensity.train(vectors), scaler, test
+    return propensity.train(vectors), scaler, feats, test
 
 
 @query("ml_split")
@@ -386,30 +399,30 @@ def _(lake):
 
 @query("ml_train_lr")
 def _(lake):
-    model, _scaler, _test = _trained(lake)
+    model, *_ = _trained(lake)
     weights = propensity.importance(lake.spark, model)
     return weights.withColumn("intercept", F.lit(round(model.intercept, 4)))
 
 
 @query("ml_metrics")
 def _(lake):
-    model, scaler, test = _trained(lake)
+    model, scaler, _feats, test = _trained(lake)
     scored = materialise(lake.spark, propensity.score(test, scaler, model), "scored")
     return propensity.evaluate(scored)
 
 
 @query("ml_importance")
 def _(lake):
-    model, _scaler, _test = _trained(lake)
+    model, *_ = _trained(lake)
     return propensity.importance(lake.spark, model)
 
 
 @query("ml_batch_score")
 def _(lake):
     """Score the last prediction day with a model trained on the training split."""
-    model, scaler, _test = _trained(lake)
-    last = lake.behaviour.agg(F.max("prediction_date")).scalar()
-    today = lake.behaviour.filter(F.col("prediction_date") == last)
+    model, scaler, feats, _test = _trained(lake)
+    last = feats.agg(F.max("prediction_date")).scalar()
+    today = feats.filter(F.col("prediction_date") == last)
     scored = propensity.score(today, scaler, model)
     return campaign.campaign(scored, lake.customers)
 
@@ -417,7 +430,7 @@ def _(lake):
 @query("ml_model_roundtrip")
 def _(lake):
     """Save and load both models; scores before and after must agree."""
-    model, scaler, test = _trained(lake)
+    model, scaler, _feats, test = _trained(lake)
     at = workspace(lake.spark, "model")
     propensity.save(scaler, model, at)
     scaler2, model2 = propensity.load(at)

@@ -103,12 +103,18 @@ class Lakehouse:
         """Product key of every raw line: the cheap input of hot-product detection."""
         return self.raw("order_items").selectExpr("product_id as product_key")
 
+    @cached_property
+    def _slim_log(self) -> DataFrame:
+        """The columns of the staged log that daily activity needs."""
+        return self.staged("clickstream").select(
+            "session_id", "event_timestamp", "event_id", "user_id", "duration_seconds",
+            "page_views", "actions_count", "has_purchase", "revenue", "actions",
+        )
+
     # --- features
     @cached_property
     def activity(self) -> DataFrame:
-        return features.daily_activity(
-            features.daily_sessions(self.sessions), features.daily_actions(self.actions)
-        )
+        return features.activity_from_log(silver.latest_sessions(self._slim_log))
 
     @cached_property
     def rolling(self) -> DataFrame:
