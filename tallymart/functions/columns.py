@@ -6,10 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round a double half up on its decimal value.
+
+    A quotient such as 16263208.62 / 108 is exactly a tie, but its nearest double
+    falls just below it; a few spare decimals restore the tie before rounding.
+    """
+    scale = {2: 9, 4: 14, 6: 12}[digits]
+    return F.round(value.cast(f"decimal(38,{scale})"), digits).cast("double")
+
+
 def safe_ratio(num: Column, den: Column, digits: int, default: float = 0.0) -> Column:
     """``num / den`` rounded, or ``default`` unless ``den`` is positive."""
     ratio = num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
-    return F.when(den > 0, F.round(ratio, digits)).otherwise(F.lit(default))
+    return F.when(den > 0, half_up(ratio, digits)).otherwise(F.lit(default))
 
 
 def ratio(num: Column, den: Column, digits: int = 2, scale: float | None = None) -> Column:
@@ -19,7 +29,7 @@ def ratio(num: Column, den: Column, digits: int = 2, scale: float | None = None)
     the quotient does not depend on the order in which rows were summed.
     """
     value = num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
-    return F.round(value * scale if scale else value, digits)
+    return half_up(value * scale if scale else value, digits)
 
 
 def percent(num: Column, den: Column) -> Column:

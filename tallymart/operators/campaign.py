@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import with_ymd
+from ..functions.columns import half_up, ratio, with_ymd
 from ..schemas import LEAD_TIERS, RULE_INTERCEPT, RULE_WEIGHTS
 
 CAMPAIGN_KEY = ["customer_id", "campaign_date"]
@@ -22,7 +22,7 @@ def score_rule(
     logit = F.lit(intercept)
     for name, weight in weights.items():
         logit = logit + F.lit(weight) * F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-    probability = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 4)
+    probability = half_up(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 4)
     return features.withColumn("purchase_probability", probability)
 
 
@@ -47,7 +47,7 @@ def campaign(scored: DataFrame, customers: DataFrame | None = None) -> DataFrame
         scored.select(
             F.col("user_id").cast("bigint").alias("customer_id"),
             F.col("prediction_date").alias("campaign_date"),
-            F.round("purchase_probability", 4).alias("purchase_probability"),
+            half_up(F.col("purchase_probability"), 4).alias("purchase_probability"),
         )
     )
     if customers is None:
@@ -81,6 +81,6 @@ def campaign_metrics(campaigns: DataFrame) -> DataFrame:
     return report.select(
         "customer_segment",
         "lead_count",
-        F.round(F.col("lead_count") / total * 100, 2).alias("percentage"),
-        F.round(F.col("_sum").cast("double") / F.col("lead_count"), 4).alias("avg_probability"),
+        half_up(F.col("lead_count") / total * 100, 2).alias("percentage"),
+        ratio(F.col("_sum"), F.col("lead_count"), 4).alias("avg_probability"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_ratio
+from ..functions.columns import ratio, safe_ratio
 from ..schemas import ACTIONS, LABEL, MONEY, TOTAL
 
 DAY = ["user_id", "activity_date"]
@@ -61,16 +61,14 @@ def daily_actions(actions: DataFrame, sessions: DataFrame | None = None) -> Data
                 *[F.sum(c).alias(c) for c in [*_ACTION_SUMS, "price_sum", "price_count"]]
             )
         )
-    average = F.sum("price_sum").cast("double") / F.nullif(
-        F.sum("price_count").cast("double"), F.lit(0.0)
-    )
+    average = ratio(F.sum("price_sum"), F.sum("price_count"), 6)
     return (
         per_product.filter("user_id is not null")
         .groupBy(*DAY)
         .agg(
             *[F.sum(c).alias(c) for c in _ACTION_SUMS],
             F.count("product_id").alias("distinct_products"),
-            F.round(average, 6).cast("decimal(18,6)").alias("avg_product_price"),
+            average.cast("decimal(18,6)").alias("avg_product_price"),
         )
     )
 
@@ -134,15 +132,13 @@ def activity_from_log(sessions: DataFrame) -> DataFrame:
         F.count(F.col("act.price").try_cast(MONEY)).alias("price_count"),
     )
     counts = [*_SESSION_SUMS, *_ACTION_SUMS]
-    average = F.sum("price_sum").cast("double") / F.nullif(
-        F.sum("price_count").cast("double"), F.lit(0.0)
-    )
+    average = ratio(F.sum("price_sum"), F.sum("price_count"), 6)
     zero = F.lit(0)
     return per_product.groupBy(*DAY).agg(
         *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in counts],
         F.count("product_id").alias("distinct_products"),
         F.coalesce(F.sum("revenue"), zero).cast(TOTAL).alias("revenue"),
-        F.coalesce(F.round(average, 6), zero).cast("decimal(18,6)").alias("avg_product_price"),
+        F.coalesce(average, zero).cast("decimal(18,6)").alias("avg_product_price"),
     )
 
 

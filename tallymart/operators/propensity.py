@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import half_up
 from ..schemas import FEATURES, LABEL
 from .kpis import share
 
@@ -107,14 +108,14 @@ def class_metrics(counts: DataFrame) -> DataFrame:
         return F.when(den > 0, num / den).otherwise(0.0)
 
     def weighted(pos, neg):
-        return F.round(over(pos * (tp + fn) + neg * (tn + fp), n), 4)
+        return half_up(over(pos * (tp + fn) + neg * (tn + fp), n), 4)
 
     f1_pos, f1_neg = over(2 * tp, 2 * tp + fp + fn), over(2 * tn, 2 * tn + fn + fp)
     return counts.select(
         weighted(f1_pos, f1_neg).alias("f1"),
         weighted(over(tp, tp + fp), over(tn, tn + fn)).alias("precision"),
         weighted(over(tp, tp + fn), over(tn, tn + fp)).alias("recall"),
-        F.round(over(tp + tn, n), 4).alias("accuracy"),
+        half_up(over(tp + tn, n), 4).alias("accuracy"),
     )
 
 
