@@ -45,8 +45,19 @@ def surface(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+_LAKES: dict[tuple[str, str], Lakehouse] = {}
+
+
+def lake_for(spark: SparkSession, folder: str) -> Lakehouse:
+    """One table graph per application and folder: plans are built once, data never kept."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LAKES:
+        _LAKES[key] = Lakehouse(spark, folder)
+    return _LAKES[key]
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return surface(QUERIES[name](Lakehouse(spark, folder)))
+    return surface(QUERIES[name](lake_for(spark, folder)))
 
 
 # --- sources and sinks ---------------------------------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from conftest import DATA, plan_of
 
 from tallymart.operators import kpis
-from tallymart.plans.catalog import QUERIES, surface
+from tallymart.plans.catalog import QUERIES, lake_for, surface
 from tallymart.plans.lakehouse import Lakehouse
 
 WRITES = {  # run jobs while the frame is built
@@ -17,9 +17,9 @@ WRITES = {  # run jobs while the frame is built
 LAZY = sorted(n for n in QUERIES if n not in WRITES and not n.startswith(("stream_", "ingest_")))
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def lake(spark):
-    return Lakehouse(spark, str(DATA))
+    return lake_for(spark, str(DATA))
 
 
 @pytest.mark.parametrize("name", LAZY)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymart import schemas
 from tallymart.operators import propensity
-from tallymart.plans.catalog import QUERIES
+from tallymart.plans.catalog import QUERIES, lake_for
 from tallymart.plans.lakehouse import Lakehouse
 from tallymart.session import materialise
 
@@ -62,12 +62,12 @@ def test_training_scoring_and_metrics(spark, feats):
 
 
 def test_saved_models_score_alike(spark):
-    out = QUERIES["ml_model_roundtrip"](Lakehouse(spark, str(DATA)))
+    out = QUERIES["ml_model_roundtrip"](lake_for(spark, str(DATA)))
     assert out.count() > 0 and out.filter(~F.col("same")).count() == 0
 
 
 def test_batch_score_covers_the_last_day(spark, feats):
-    out = QUERIES["ml_batch_score"](Lakehouse(spark, str(DATA)))
+    out = QUERIES["ml_batch_score"](lake_for(spark, str(DATA)))
     last = feats.agg(F.max("prediction_date")).first()[0]
     assert {r[0] for r in out.select("campaign_date").distinct().collect()} == {last}
     assert out.count() == feats.filter(F.col("prediction_date") == F.lit(last)).count()
