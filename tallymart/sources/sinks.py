@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import upsert
-from ..session import materialise, workspace
+from ..session import materialise
 
 YMD = ["year", "month", "day"]
 
@@ -47,20 +47,37 @@ def upsert_partitioned(
 ) -> None:
     """Merge ``source`` into a partitioned table, rewriting only the partitions it touches.
 
-    ``by`` must follow from ``keys``, so a key never moves between partitions. The
-    merged partitions are first written beside the table and then replace the old
-    ones: the table is never overwritten while it is being read, and running the
-    same batch again changes nothing.
+    ``by`` must follow from ``keys``, so a key never moves between partitions. A dynamic
+    partition overwrite writes aside and swaps folders when the whole job has succeeded,
+    so the old files stay readable for lost tasks to be redone; running the same batch
+    again changes nothing.
     """
     source = materialise(spark, source, "delta")  # read several times below
-    write_partitioned(source.limit(0), path, by, mode="append")  # a first load finds a table
+    source.limit(0).write.mode("append").partitionBy(*by).parquet(path)  # table exists
     target = spark.read.schema(source.schema).parquet(path)
-    touched = source.select(*by).distinct()
-    current = target.join(touched, list(by), "left_semi").select(*source.columns)
-    merged = upsert(current, source, keys, order_by)
-    staged = workspace(spark, "merge")
-    write_partitioned(merged, staged, by)
-    write_partitioned(spark.read.schema(source.schema).parquet(staged), path, by)
+    current = _only_partitions(target, source.select(*by).distinct(), by)
+    write_partitioned(upsert(current, source, keys, order_by), path, by)
+
+
+MAX_LISTED_PARTITIONS = 1000
+
+
+def _only_partitions(table: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of ``table`` in the ``touched`` partitions.
+
+    A short list of partitions becomes literals, so the scan skips all other folders;
+    a longer one (most of the table, then) stays a semi join.
+    """
+    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(listed) > MAX_LISTED_PARTITIONS:
+        return table.join(touched, list(by), "left_semi").select(*table.columns)
+    wanted = F.lit(False)
+    for row in listed:
+        match = F.lit(True)
+        for c in by:
+            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
+        wanted = wanted | match
+    return table.filter(wanted)
 
 
 def table_size(df: DataFrame) -> DataFrame:

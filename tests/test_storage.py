@@ -68,6 +68,18 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert sorted(Path(path).glob("p=1/*.parquet")) == before
 
 
+def test_upsert_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(60).selectExpr("id", "cast(id % 6 as int) p").write.partitionBy("p").parquet(path)
+    table = spark.read.schema("id long, p int").parquet(path)
+    touched = spark.createDataFrame([(1,), (4,), (None,)], "p int")
+    pruned = sinks._only_partitions(table, touched, ["p"])
+    assert rows_of(pruned.select("p").distinct()) == [(1,), (4,)]
+    assert "PartitionFilters: [(" in pruned._jdf.queryExecution().toString()
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
+    assert rows_of(sinks._only_partitions(table, touched, ["p"])) == rows_of(pruned)
+
+
 def test_compaction_merges_files_and_keeps_rows(spark, tmp_path):
     df = spark.range(1000).withColumn("p", F.col("id") % 2)
     loose, tidy, some = (str(tmp_path / n) for n in ("loose", "tidy", "some"))
