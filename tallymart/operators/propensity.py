@@ -55,6 +55,14 @@ def split(
     return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
 
 
+def random_split(
+    df: DataFrame, train: float = 0.8, test: float = 0.2, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """Seeded random split. The draw depends on partitioning; ``split`` does not."""
+    first, second = df.randomSplit([train, test], seed=seed)
+    return first, second
+
+
 def train(
     df: DataFrame, max_iter: int = 100, reg: float = 0.01, elastic_net: float = 0.0
 ) -> LogisticRegressionModel:

@@ -43,14 +43,15 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame
 def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Foreign keys without a parent, with their row count. Null passes.
 
-    The child is counted per key before the anti join, so a hot key is one row.
+    Both sides are reduced to one row per key before the join, so no key is hot.
     """
     keys = (
         child.filter(F.col(fk).isNotNull())
         .groupBy(F.col(fk).alias("value"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return keys.join(parent.select(F.col(pk).alias("value")), "value", "left_anti")
+    known = parent.select(F.col(pk).alias("value")).distinct()
+    return keys.join(known, "value", "left_anti")
 
 
 def relationship_counts(

@@ -287,16 +287,23 @@ def _(lake):
     )
 
 
+def _live_brands(lake) -> DataFrame:
+    """The brand master as a second source: its CSV snapshot, not the mart's own table."""
+    path = workspace(lake.spark, "brands-csv")
+    files.write_snapshot(lake.raw("brands"), path, "brands")
+    snapshot = files.read_snapshot(lake.spark, path, "brands")
+    return staging.stage(snapshot, staging.STAGING["brands"])
+
+
 @query("bi_brand_origin")
 def _(lake):
-    live = lake.staged("brands")
-    return kpis.brand_origin(lake.fact_order_items, lake.dim_product, live)
+    return kpis.brand_origin(lake.fact_order_items, lake.dim_product, _live_brands(lake))
 
 
 @query("bi_origin_share")
 def _(lake):
     return kpis.origin_share(
-        lake.fact_order_items, lake.dim_product, lake.staged("brands"),
+        lake.fact_order_items, lake.dim_product, _live_brands(lake),
         raw_keys=lake.item_product_keys,
     )
 

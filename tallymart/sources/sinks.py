@@ -37,6 +37,11 @@ def write_json_days(df: DataFrame, path: str, day: str = "ingest_date") -> None:
     df.hint("rebalance", day).write.mode("overwrite").partitionBy(day).json(path)
 
 
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """Write a one-row metrics frame as a single JSON line."""
+    metrics.coalesce(1).write.mode("overwrite").json(path)
+
+
 def upsert_partitioned(
     spark: SparkSession,
     path: str,

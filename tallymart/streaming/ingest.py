@@ -20,11 +20,19 @@ from ..sources.warehouse import clickstream
 
 
 def stream_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw clickstream as a stream over the event files in ``folder``."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+    """The raw clickstream as a stream over the event table.
+
+    The table may be a folder of part files or one file; a file source reads folders
+    only, so the single file is picked out of its folder by name.
+    """
+    folder = folder.rstrip("/")
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    reader = spark.readStream.schema(table.schema)
+    part = table.select("_metadata.file_path").first()
+    if part is not None and part[0].endswith("/events.parquet"):
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(folder)
+    else:
+        events = reader.parquet(f"{folder}/events.parquet")
     return clickstream(events)
 
 

@@ -85,3 +85,14 @@ def test_campaign_upsert_stream_replaces_earlier_scores(spark, tmp_path):
     expected = campaign.campaign(campaign.score_rule(feats))
     got = spark.read.schema(expected.schema).parquet(out)
     assert rows_of(got) == rows_of(expected)
+
+
+def test_the_event_table_may_be_a_folder_of_files(spark, tmp_path):
+    events = spark.read.parquet(str(DATA / "events.parquet"))
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    out = str(tmp_path / "out")
+    raw = ingest.stream_raw(spark, str(tmp_path)).select("event_id", "session_id")
+    write(raw, out, str(tmp_path / "ck"))
+    lake = Lakehouse(spark, str(DATA))
+    assert rows_of(spark.read.parquet(out)) == rows_of(
+        lake.raw("clickstream").select("event_id", "session_id"))
