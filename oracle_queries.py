@@ -99,11 +99,12 @@ CTES: dict[str, str] = {
       CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 2500 THEN 'Bronze'
         WHEN c_acctbal < 5000 THEN ' Silver' WHEN c_acctbal < 7500 THEN 'GOLD'
         WHEN c_acctbal < 9500 THEN 'Platinum ' ELSE 'vip' END AS tire,
-      {_nth(warehouse.PROVINCES, 'c_nationkey')} AS address FROM customer""",
+      {_nth(warehouse.PROVINCES, 'c_nationkey')} AS address,
+      TIMESTAMP '2015-01-01' + to_days(CAST(c_custkey % 3000 AS INT)) AS created_at,
+      TIMESTAMP '2015-01-01' + to_days(CAST(c_custkey % 3000 + c_nationkey AS INT)) AS updated_at FROM customer""",
     "stg_customers": """SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
       lower(trim(email)) AS email, trim(phone_number) AS phone_number, trim(gender) AS gender,
-      lower(trim(tire)) AS tire, trim(address) AS address,
-      CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM raw_customers""",
+      lower(trim(tire)) AS tire, trim(address) AS address, created_at, updated_at FROM raw_customers""",
     "silver_customers": """SELECT customer_id, first_name, last_name, email,
       CASE WHEN length(regexp_replace(phone_number, '[^0-9]', '', 'g')) >= 9
         THEN regexp_replace(phone_number, '[^0-9]', '', 'g') END AS phone_number,
@@ -126,7 +127,8 @@ CTES: dict[str, str] = {
     "stg_products": f"""SELECT p_partkey AS product_id, p_name AS product_name,
       p_type || ' size ' || p_size AS product_description, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
       CAST(list_position({_list(warehouse.CATEGORIES)}, p_type) AS INT) AS category_id, p_brand AS brand_id,
-      CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at FROM part""",
+      TIMESTAMP '2015-01-01' + to_days(CAST(p_partkey % 3000 AS INT)) AS created_at,
+      TIMESTAMP '2015-01-01' + to_days(CAST(p_partkey % 3000 + p_size AS INT)) AS updated_at FROM part""",
     "silver_products": "SELECT * FROM stg_products WHERE price > 0",
     "stg_orders": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_timestamp,
       CAST(o_orderdate AS DATE) AS order_date, CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
@@ -397,6 +399,7 @@ _CLICK_COLUMNS = "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg
 _MS = "date_trunc('milliseconds', event_timestamp)"
 _FACT_ORDER = """SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(discount_amt AS DOUBLE) AS discount_amt,
   CAST(sub_total AS DOUBLE) AS sub_total) FROM fact_order"""
+_BUCKET = "CAST('0x' || substr(md5(user_id || '|' || prediction_date), 1, 8) AS BIGINT) % 100"
 _AVG_ORDERS = "(SELECT avg(n) FROM method_orders)"
 CTES["method_orders"] = "SELECT payment_method_id, count(order_id) AS n FROM silver_orders GROUP BY 1"
 CTES["later_methods"] = f"""SELECT m.* REPLACE (CASE WHEN n > {_AVG_ORDERS} THEN 'Preferred ' || provider
@@ -492,6 +495,11 @@ BODIES: dict[str, str] = {
       CAST(sum(quantity) AS BIGINT) AS total_units_sold, CAST(sum(sub_total) AS DOUBLE) AS total_net_revenue,
       {_ratio('sum(price)', 'count(price)')} AS avg_unit_selling_price, count(DISTINCT order_id) AS total_order_appearances
       FROM sold GROUP BY ALL ORDER BY sum(sub_total) DESC, product_id LIMIT 10""",
+    "bi_top_products_filtered": f"""SELECT product_id, product_name, category, brand_name, brand_origin,
+      CAST(sum(quantity) AS BIGINT) AS total_units_sold, CAST(sum(sub_total) AS DOUBLE) AS total_net_revenue,
+      {_ratio('sum(price)', 'count(price)')} AS avg_unit_selling_price, count(DISTINCT order_id) AS total_order_appearances
+      FROM sold WHERE category = 'SMALL' AND order_date_key BETWEEN 19970101 AND 19981231
+      GROUP BY ALL ORDER BY sum(sub_total) DESC, product_id LIMIT 10""",
     "bi_top_product_names": """SELECT product_name, CAST(sum(sub_total) AS DOUBLE) AS total_net_revenue,
       CAST(sum(quantity) AS BIGINT) AS units_sold FROM sold GROUP BY product_name
       ORDER BY sum(sub_total) DESC, product_name LIMIT 10""",
@@ -560,6 +568,10 @@ BODIES: dict[str, str] = {
     "ml_scaled_features": "SELECT user_id, prediction_date, " + ", ".join(
         f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}"
         for c in schemas.FEATURES) + " FROM behaviour",
+    "ml_split": f"""SELECT user_id, prediction_date, label_purchase_tomorrow,
+      CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS part FROM anchor""",
+    "ml_model_roundtrip": f"""SELECT count(*) AS scored_rows, count(*) AS same_rows FROM anchor
+      WHERE {_BUCKET} >= 80""",
     "ml_confusion": "SELECT * FROM confusion",
     "ml_class_metrics": f"""SELECT {_round('((2.0::DOUBLE*tp/(2*tp+fp+fn))*(tp+fn) + (2.0::DOUBLE*tn/(2*tn+fn+fp))*(tn+fp)) / n', 4)} AS f1,
       {_round('((tp::DOUBLE/(tp+fp))*(tp+fn) + (tn::DOUBLE/(tn+fn))*(tn+fp)) / n', 4)} AS "precision",
@@ -583,7 +595,7 @@ BODIES: dict[str, str] = {
         count(*) FILTER (WHERE {fk} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)) AS orphans
         FROM {child} WHERE {fk} IS NOT NULL""" for label, child, fk, parent, pk in _RELATIONS),
     "dq_orphans": """SELECT customer_id AS value, count(*) AS rows FROM silver_customers c
-      WHERE NOT EXISTS (SELECT 1 FROM silver_orders o WHERE o.customer_id = c.customer_id) GROUP BY customer_id""",
+      WHERE NOT EXISTS (SELECT 1 FROM silver_sessions o WHERE o.user_id = c.customer_id) GROUP BY customer_id""",
     "dq_positive_revenue": """SELECT 'fact_order' AS model_name, order_id AS record_id, CAST(sub_total AS DOUBLE) AS sub_total,
       CAST(price AS DOUBLE) AS price, CAST(discount_amt AS DOUBLE) AS discount_amt FROM fact_order
       WHERE sub_total < 0 OR price < 0 OR discount_amt < 0

@@ -95,6 +95,18 @@ def filter_orders(
     return out
 
 
+def filter_items(
+    items: DataFrame, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Date filter on order lines. For a category, hand the report filtered products."""
+    out = items
+    if start:
+        out = out.filter(F.col("order_date_key") >= int(start.replace("-", "")))
+    if end:
+        out = out.filter(F.col("order_date_key") <= int(end.replace("-", "")))
+    return out
+
+
 # --- executive revenue ---------------------------------------------------------------
 def kpi(fact: DataFrame, days: DataFrame) -> DataFrame:
     totals = roll_up(dated(fact, days))

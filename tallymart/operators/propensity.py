@@ -51,7 +51,8 @@ def split(
     df: DataFrame, train_percent: int = 80, keys: Sequence[str] = KEYS
 ) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the row's key: the same row always lands on the same side."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(100))
+    digest = F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8)
+    bucket = F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(100))
     return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
 
 

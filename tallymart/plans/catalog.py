@@ -268,6 +268,12 @@ def _(lake):
     return kpis.top_products(lake.fact_order_items, lake.dim_product)
 
 
+@query("bi_top_products_filtered")
+def _(lake):
+    lines = kpis.filter_items(lake.fact_order_items, "1997-01-01", "1998-12-31")
+    return kpis.top_products(lines, lake.dim_product.filter("category = 'SMALL'"))
+
+
 @query("bi_top_product_names")
 def _(lake):
     return kpis.top_product_names(lake.fact_order_items, lake.dim_product)
@@ -459,7 +465,10 @@ def _(lake):
         after.select(*propensity.KEYS, F.col("purchase_probability").alias("reloaded")),
         propensity.KEYS,
     )
-    return both.withColumn("same", F.col("purchase_probability") == F.col("reloaded"))
+    return both.agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.count_if(F.col("purchase_probability") == F.col("reloaded")).alias("same_rows"),
+    )
 
 
 def _rule_predictions(lake) -> DataFrame:
@@ -545,8 +554,8 @@ def _(lake):
 
 @query("dq_orphans")
 def _(lake):
-    """Customers that never ordered, seen as a foreign key without a match."""
-    return quality.relationships(lake.customers, "customer_id", lake.orders, "customer_id")
+    """Customers that never visited the web shop, seen as a foreign key without a match."""
+    return quality.relationships(lake.customers, "customer_id", lake.sessions, "user_id")
 
 
 @query("dq_positive_revenue")

@@ -55,8 +55,13 @@ def _case(value: Column, mapping: dict, default=None) -> Column:
     return out.otherwise(default)
 
 
-def _no_times() -> list[Column]:
-    return [F.lit(None).cast("timestamp").alias(c) for c in ("created_at", "updated_at")]
+def _times(created: Column, changed: Column) -> list[Column]:
+    """Row times from two day counts after 2015-01-01; the source tables carry none."""
+    first = F.date_add(F.lit("2015-01-01").cast("date"), created.cast("int"))
+    last = F.date_add(first, changed.cast("int"))
+    return [
+        first.cast("timestamp").alias("created_at"), last.cast("timestamp").alias("updated_at"),
+    ]
 
 
 def _category_id(kind: Column) -> Column:
@@ -87,7 +92,7 @@ def customers(customer: DataFrame) -> DataFrame:
         _case(F.col("c_mktsegment"), GENDERS).alias("gender"),
         tier.alias("tire"),
         _nth(PROVINCES, F.col("c_nationkey")).alias("address"),
-        *_no_times(),
+        *_times(F.pmod(key, F.lit(3000)), F.col("c_nationkey")),
     )
 
 
@@ -137,7 +142,7 @@ def products(part: DataFrame) -> DataFrame:
         F.col("p_retailprice").cast(MONEY).alias("price"),
         _category_id(F.col("p_type")).alias("category_id"),
         F.col("p_brand").alias("brand_id"),
-        *_no_times(),
+        *_times(F.pmod("p_partkey", F.lit(3000)), F.col("p_size")),
     )
 
 

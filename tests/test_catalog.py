@@ -9,10 +9,7 @@ import __spark_entry__ as entry_module
 QUERIES = entry_module.queries()
 ORACLE = entry_module.oracle_sql()
 TABLES = "region nation customer supplier part orders lineitem events".split()
-ROWS_ONLY = {
-    "ml_split", "ml_train_lr", "ml_metrics", "ml_importance", "ml_batch_score",
-    "ml_model_roundtrip",
-}
+ROWS_ONLY = {"ml_train_lr", "ml_metrics", "ml_importance", "ml_batch_score"}
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
