@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TOTAL
@@ -57,23 +58,43 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
 def relationship_counts(
     relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]],
 ) -> DataFrame:
-    """Rows checked and orphaned per declared relation: (label, child, fk, parent, pk)."""
-    out = None
+    """Rows checked and orphaned per declared relation: (label, child, fk, parent, pk).
+
+    All foreign keys of a child are read in one pass over it, and each parent once;
+    keys are combined per (relation, value) before a single join.
+    """
+    children: dict[int, tuple[DataFrame, list[Column]]] = {}
+    parents: dict[tuple[int, str], tuple[DataFrame, list[Column]]] = {}
     for label, child, fk, parent, pk in relations:
-        keys = (
-            child.filter(F.col(fk).isNotNull())
-            .groupBy(F.col(fk).alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-        known = parent.select(F.col(pk).alias("value"), F.lit(True).alias("known")).distinct()
-        one = keys.join(known, "value", "left").agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_checked"),
-            F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("rows"))), F.lit(0)).alias(
-                "orphans"
-            ),
-        ).select(F.lit(label).alias("relation"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+        pair = F.struct(F.lit(label).alias("relation"), F.col(fk).cast("string").alias("value"))
+        children.setdefault(id(child), (child, []))[1].append(pair)
+        parents.setdefault((id(parent), pk), (parent, []))[1].append(F.lit(label))
+
+    found = [df.select(F.inline(F.array(*pairs))) for df, pairs in children.values()]
+    known = [
+        df.select(F.explode(F.array(*labels)).alias("relation"), F.col(pk).cast("string").alias("value"))
+        for (_, pk), (df, labels) in parents.items()
+    ]
+    keys = (
+        reduce(DataFrame.unionByName, found)
+        .filter("value is not null")
+        .groupBy("relation", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known_keys = reduce(DataFrame.unionByName, known).distinct().withColumn("known", F.lit(True))
+    orphan = F.when(F.col("known").isNull(), F.col("rows"))
+    counts = (
+        keys.join(known_keys, ["relation", "value"], "left")
+        .groupBy("relation")
+        .agg(F.sum("rows").alias("rows_checked"), F.sum(orphan).alias("orphans"))
+    )
+    declared = found[0].sparkSession.createDataFrame([(r[0],) for r in relations], "relation string")
+    zero = F.lit(0).cast("bigint")
+    return declared.join(counts, "relation", "left").select(
+        "relation",
+        F.coalesce("rows_checked", zero).alias("rows_checked"),
+        F.coalesce("orphans", zero).alias("orphans"),
+    )
 
 
 def domain(df: DataFrame, col: str, reference: DataFrame, ref_col: str) -> DataFrame:

@@ -58,12 +58,18 @@ def dedup_sessions(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
     )
 
 
-def daily_events(raw: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Records, purchases and revenue per user and day; later rows than ``delay`` are dropped."""
+def daily_events(raw: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Records, purchases and revenue per user and day.
+
+    The event time is the start of the record's day in the session's time zone. A day
+    is closed, its state dropped and its late rows ignored once a record from ``delay``
+    or more after it has been seen.
+    """
     staged = stage_clickstream(raw).filter("user_id is not null")
     return (
-        staged.withWatermark("event_timestamp", delay)
-        .groupBy(F.window("event_timestamp", "1 day"), "user_id")
+        staged.withColumn("day_start", F.date_trunc("day", "event_timestamp"))
+        .withWatermark("day_start", delay)
+        .groupBy("day_start", "user_id")
         .agg(
             F.count("event_id").alias("records"),
             F.sum("duration_seconds").alias("duration"),
@@ -72,7 +78,7 @@ def daily_events(raw: DataFrame, delay: str = "1 day") -> DataFrame:
         )
         .select(
             "user_id",
-            F.to_date("window.start").alias("activity_date"),
+            F.to_date("day_start").alias("activity_date"),
             "records",
             "duration",
             "purchases",

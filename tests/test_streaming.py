@@ -56,6 +56,20 @@ def test_daily_totals_update_and_drop_late_rows(spark, tmp_path):
     assert run() == [(1, "2024-01-01", 2), (1, "2024-01-05", 1)]
 
 
+def test_daily_totals_follow_the_session_time_zone(spark, tmp_path):
+    zone = "spark.sql.session.timeZone"
+    spark.conf.set(zone, "Asia/Ho_Chi_Minh")
+    try:
+        src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+        log(spark, src, ("1", "a", 1, "2024-01-01 01:00:00"), ("2", "b", 1, "2024-01-01 23:00:00"))
+        daily = ingest.daily_events(files.stream_clickstream(spark, src))
+        finish(ingest.write_changes(daily, out, ck))
+        table = ingest.read_changes(spark, out, daily.schema, ["user_id", "activity_date"])
+        assert [(str(r.activity_date), r.records) for r in table.collect()] == [("2024-01-01", 2)]
+    finally:
+        spark.conf.set(zone, "UTC")
+
+
 def test_landing_is_exactly_once_over_restarts(spark, tmp_path):
     path, ck = str(tmp_path / "landing"), str(tmp_path / "ck")
     for _ in range(2):
