@@ -1,7 +1,7 @@
 """The catalog's queries as plain SQL over the parquet tables, for cross-checking.
 
-Written independently of the Spark code: windows instead of nested arrays, a range
-join instead of a range frame, CASE lists instead of mapping tables. Money is
+Written independently of the Spark code: windows instead of nested arrays, the
+range frame replaced by rows handed forward, CASE lists instead of mapping tables. Money is
 DECIMAL until the final output; ratios round half up on the decimal value.
 """
 
@@ -88,6 +88,34 @@ def _campaign(source: str) -> str:
       FROM {source} l LEFT JOIN silver_customers c ON l.customer_id = c.customer_id"""
 
 
+# daily column -> expression summed into it
+_SESSION_SUMS = {"duration": "duration_seconds", "page_views": "page_views", "actions": "actions_count"}
+_ACTION_SUMS = {
+    f"{a}_count": f"is_{a}"
+    for a in ["view", "add_to_cart", "purchase", "search", "wishlist", "checkout_view"]
+}
+_DAILY = ["sessions", *_SESSION_SUMS, "purchase_sessions", *_ACTION_SUMS, "distinct_products"]
+_ROLLED = {
+    (f"total_{c}_3d" if c in _SESSION_SUMS else f"{c}_3d"): c
+    for c in _DAILY if c != "distinct_products"
+}
+_GUARDED = [  # ratio, numerator, denominator, digits
+    ("avg_session_duration_3d", "total_duration_3d", "sessions_3d", 2),
+    ("cart_conversion_rate_3d", "purchase_count_3d", "add_to_cart_count_3d", 4),
+    ("purchase_conversion_rate_3d", "purchase_count_3d", "total_actions_3d", 4),
+    ("actions_per_session_3d", "total_actions_3d", "sessions_3d", 4),
+    ("purchase_session_rate_3d", "purchase_sessions_3d", "sessions_3d", 4),
+]
+_GENDER = " ".join(
+    f"WHEN lower(gender) IN {_in(words)} THEN {_text(name)}"
+    for name, words in schemas.GENDER_SYNONYMS.items()
+)
+
+
+def _big_sums(columns: dict[str, str], call: str) -> str:
+    return ", ".join(f"CAST({call.format(x)} AS BIGINT) AS {c}" for c, x in columns.items())
+
+
 # --- common table expressions: name -> SQL; dependencies are found by name -------------
 CTES: dict[str, str] = {
     "raw_customers": f"""SELECT c_custkey AS customer_id, ' ' || split_part(c_name, '#', 1) AS first_name,
@@ -105,13 +133,12 @@ CTES: dict[str, str] = {
     "stg_customers": """SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
       lower(trim(email)) AS email, trim(phone_number) AS phone_number, trim(gender) AS gender,
       lower(trim(tire)) AS tire, trim(address) AS address, created_at, updated_at FROM raw_customers""",
-    "silver_customers": """SELECT customer_id, first_name, last_name, email,
-      CASE WHEN length(regexp_replace(phone_number, '[^0-9]', '', 'g')) >= 9
-        THEN regexp_replace(phone_number, '[^0-9]', '', 'g') END AS phone_number,
-      CASE WHEN lower(gender) IN ('nam', 'male', 'm') THEN 'Nam'
-        WHEN lower(gender) IN ('nu', 'nữ', 'female', 'f') THEN 'Nu' ELSE 'Other' END AS gender,
-      CASE WHEN tire IN ('bronze', 'silver', 'gold', 'platinum') THEN tire ELSE 'bronze' END AS tire,
-      address, created_at, updated_at FROM stg_customers""",
+    "silver_customers": f"""SELECT customer_id, first_name, last_name, email,
+      CASE WHEN length(digits) >= 9 THEN digits END AS phone_number,
+      CASE {_GENDER} ELSE 'Other' END AS gender,
+      CASE WHEN tire IN {_in(schemas.TIERS)} THEN tire ELSE 'bronze' END AS tire,
+      address, created_at, updated_at
+      FROM (SELECT *, regexp_replace(phone_number, '[^0-9]', '', 'g') AS digits FROM stg_customers)""",
     "stg_brands": """SELECT DISTINCT p_brand AS brand_id, p_brand AS brand_name, n_name AS brand_origin
       FROM part LEFT JOIN nation ON n_nationkey = CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT) - 1""",
     "silver_brands": """SELECT brand_id, brand_name, COALESCE(brand_origin, 'Unknown') AS brand_origin
@@ -229,59 +256,37 @@ CTES: dict[str, str] = {
       COALESCE(c.address, 'Unknown Province') AS province, {_REGION} AS macro_region
       FROM fact_order f JOIN silver_customers c ON f.customer_key = c.customer_id""",
     # features
-    "daily_sessions": """SELECT user_id, CAST(timestamp AS DATE) AS activity_date,
-      count(DISTINCT session_id) AS sessions, CAST(sum(duration_seconds) AS BIGINT) AS duration,
-      CAST(sum(page_views) AS BIGINT) AS page_views, CAST(sum(actions_count) AS BIGINT) AS actions,
-      CAST(sum(CASE WHEN has_purchase THEN 1 ELSE 0 END) AS BIGINT) AS purchase_sessions,
-      CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
+    "daily_sessions": f"""SELECT user_id, CAST(timestamp AS DATE) AS activity_date,
+      count(DISTINCT session_id) AS sessions, count(*) FILTER (WHERE has_purchase) AS purchase_sessions,
+      CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue, {_big_sums(_SESSION_SUMS, 'sum({})')}
       FROM silver_sessions WHERE user_id IS NOT NULL GROUP BY ALL""",
-    "daily_actions": f"""SELECT s.user_id, CAST(a.action_timestamp AS DATE) AS activity_date,
-      CAST(sum(is_view) AS BIGINT) AS view_count, CAST(sum(is_add_to_cart) AS BIGINT) AS add_to_cart_count,
-      CAST(sum(is_purchase) AS BIGINT) AS purchase_count, CAST(sum(is_search) AS BIGINT) AS search_count,
-      CAST(sum(is_wishlist) AS BIGINT) AS wishlist_count, CAST(sum(is_checkout_view) AS BIGINT) AS checkout_view_count,
-      count(DISTINCT product_id) AS distinct_products,
+    "daily_actions": f"""SELECT user_id, CAST(action_timestamp AS DATE) AS activity_date,
+      {_big_sums(_ACTION_SUMS, 'sum({})')}, count(DISTINCT product_id) AS distinct_products,
       CAST({_ratio('sum(product_price)', 'count(product_price)', 6)} AS DECIMAL(18,6)) AS avg_product_price
-      FROM silver_actions a JOIN silver_sessions s ON a.session_id = s.session_id
-      WHERE s.user_id IS NOT NULL GROUP BY ALL""",
-    "daily_activity": """SELECT COALESCE(s.user_id, a.user_id) AS user_id,
-      COALESCE(s.activity_date, a.activity_date) AS activity_date, COALESCE(sessions, 0) AS sessions,
-      COALESCE(duration, 0) AS duration, COALESCE(page_views, 0) AS page_views, COALESCE(actions, 0) AS actions,
-      COALESCE(purchase_sessions, 0) AS purchase_sessions, COALESCE(view_count, 0) AS view_count,
-      COALESCE(add_to_cart_count, 0) AS add_to_cart_count, COALESCE(purchase_count, 0) AS purchase_count,
-      COALESCE(search_count, 0) AS search_count, COALESCE(wishlist_count, 0) AS wishlist_count,
-      COALESCE(checkout_view_count, 0) AS checkout_view_count, COALESCE(distinct_products, 0) AS distinct_products,
-      COALESCE(revenue, 0) AS revenue, COALESCE(avg_product_price, 0) AS avg_product_price
-      FROM daily_sessions s FULL JOIN daily_actions a
-      ON s.user_id = a.user_id AND s.activity_date = a.activity_date""",
+      FROM silver_actions JOIN (SELECT session_id FROM silver_sessions) USING (session_id)
+      WHERE user_id IS NOT NULL GROUP BY ALL""",
+    "daily_activity": "SELECT user_id, activity_date, "
+    + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in [*_DAILY, "revenue", "avg_product_price"])
+    + " FROM daily_sessions FULL JOIN daily_actions USING (user_id, activity_date)",
     "anchor": """SELECT DISTINCT user_id, activity_date AS prediction_date,
       CAST(CASE WHEN purchase_sessions > 0 OR purchase_count > 0 THEN 1 ELSE 0 END AS INT) AS label_purchase_tomorrow
       FROM daily_activity""",
-    "rolling": """SELECT p.user_id, p.prediction_date, p.label_purchase_tomorrow,
-      CAST(COALESCE(sum(h.sessions), 0) AS BIGINT) AS sessions_3d,
-      CAST(COALESCE(sum(h.purchase_sessions), 0) AS BIGINT) AS purchase_sessions_3d,
-      CAST(COALESCE(sum(h.view_count), 0) AS BIGINT) AS view_count_3d,
-      CAST(COALESCE(sum(h.add_to_cart_count), 0) AS BIGINT) AS add_to_cart_count_3d,
-      CAST(COALESCE(sum(h.purchase_count), 0) AS BIGINT) AS purchase_count_3d,
-      CAST(COALESCE(sum(h.search_count), 0) AS BIGINT) AS search_count_3d,
-      CAST(COALESCE(sum(h.wishlist_count), 0) AS BIGINT) AS wishlist_count_3d,
-      CAST(COALESCE(sum(h.checkout_view_count), 0) AS BIGINT) AS checkout_view_count_3d,
-      CAST(COALESCE(sum(h.duration), 0) AS BIGINT) AS total_duration_3d,
-      CAST(COALESCE(sum(h.page_views), 0) AS BIGINT) AS total_page_views_3d,
-      CAST(COALESCE(sum(h.actions), 0) AS BIGINT) AS total_actions_3d,
-      CAST(COALESCE(max(h.distinct_products), 0) AS BIGINT) AS distinct_products_3d,
-      COALESCE(CAST(sum(h.revenue) AS DOUBLE), 0.0) AS total_revenue_3d,
-      COALESCE(CAST(sum(h.avg_product_price) AS DOUBLE) / NULLIF(CAST(count(h.avg_product_price) AS DOUBLE), 0.0), 0.0)
-        AS avg_product_price_3d
-      FROM anchor p LEFT JOIN daily_activity h ON p.user_id = h.user_id
-        AND h.activity_date >= p.prediction_date - 3 AND p.prediction_date > h.activity_date
-      GROUP BY p.user_id, p.prediction_date, p.label_purchase_tomorrow""",
-    "behaviour": f"""SELECT *,
-      CASE WHEN sessions_3d > 0 THEN {_ratio('total_duration_3d', 'sessions_3d', 2)} ELSE 0.0 END AS avg_session_duration_3d,
-      CASE WHEN add_to_cart_count_3d > 0 THEN {_ratio('purchase_count_3d', 'add_to_cart_count_3d', 4)} ELSE 0.0 END AS cart_conversion_rate_3d,
-      CASE WHEN total_actions_3d > 0 THEN {_ratio('purchase_count_3d', 'total_actions_3d', 4)} ELSE 0.0 END AS purchase_conversion_rate_3d,
-      CASE WHEN sessions_3d > 0 THEN {_ratio('total_actions_3d', 'sessions_3d', 4)} ELSE 0.0 END AS actions_per_session_3d,
-      CASE WHEN sessions_3d > 0 THEN {_ratio('purchase_sessions_3d', 'sessions_3d', 4)} ELSE 0.0 END AS purchase_session_rate_3d
-      FROM rolling""",
+    # every active day is handed on to the three days after it
+    "carried": """SELECT * REPLACE (activity_date + n AS activity_date)
+      FROM daily_activity, (VALUES (1), (2), (3)) AS later(n)""",
+    "carried_sums": f"""SELECT user_id, activity_date AS prediction_date, {_big_sums(_ROLLED, 'sum({})')},
+      max(distinct_products) AS distinct_products_3d, CAST(sum(revenue) AS DOUBLE) AS total_revenue_3d,
+      CAST(sum(avg_product_price) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_product_price_3d
+      FROM carried GROUP BY ALL""",
+    "rolling": "SELECT user_id, prediction_date, label_purchase_tomorrow, "
+    + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in [*_ROLLED, "distinct_products_3d"])
+    + """, COALESCE(total_revenue_3d, 0.0) AS total_revenue_3d,
+      COALESCE(avg_product_price_3d, 0.0) AS avg_product_price_3d
+      FROM anchor LEFT JOIN carried_sums USING (user_id, prediction_date)""",
+    "behaviour": "SELECT *, " + ", ".join(
+        f"COALESCE({_ratio(num, den, digits)}, 0.0) AS {name}"
+        for name, num, den, digits in _GUARDED
+    ) + " FROM rolling",
     "scored": f"""SELECT user_id, user_id AS customer_id, prediction_date, prediction_date AS campaign_date,
       label_purchase_tomorrow, {_score(schemas.RULE_INTERCEPT)} AS purchase_probability FROM behaviour""",
     "scored_cold": f"""SELECT user_id AS customer_id, prediction_date AS campaign_date,

@@ -96,7 +96,7 @@ def _(lake):
 def _(lake):
     fact = materialise(lake.spark, lake.fact_order, "fact-order")
     path = workspace(lake.spark, "zorder")
-    sinks.zorder_cluster(fact, ["date_key", "customer_key"], files=8).write.parquet(path)
+    sinks.zorder_cluster(fact, ["date_key", "customer_key"]).write.parquet(path)
     return lake.spark.read.schema(fact.schema).parquet(path)
 
 

@@ -152,12 +152,23 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6) -> DataFrame:
     return ranked.withColumn("_z", z).drop(*names, *ranks)
 
 
-def zorder_cluster(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> DataFrame:
+def zorder_cluster(
+    df: DataFrame,
+    cols: Sequence[str],
+    files: int | None = None,
+    bits: int = 6,
+    target_mb: int = 128,
+) -> DataFrame:
     """Range-partition and sort by Z-order key.
 
+    The number of files follows from the size of the files ``df`` reads unless given.
+
     A content hash follows the key in the range, so rows sharing one Z value can be
     split over several files.
     """
+    if files is None:
+        size = table_size(df).first()["bytes"] or 0
+        files = max(1, -(-size // (target_mb * 1024 * 1024)))
     keyed = zorder_key(df, cols, bits).withColumn("_h", F.xxhash64(*df.columns))
     return (
         keyed.repartitionByRange(files, "_z", "_h")

@@ -108,6 +108,13 @@ def test_zorder_keeps_rows_and_narrows_files(spark, tmp_path):
     assert mean.a < 10_000 and mean.b < 10_000  # unclustered files would span about 20,000
 
 
+def test_zorder_sizes_its_files_from_the_input(spark, tmp_path):
+    spark.range(5000).selectExpr("id a", "id % 7 b").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert sinks.zorder_cluster(table, ["a", "b"]).rdd.getNumPartitions() == 1
+    assert sinks.zorder_cluster(table, ["a", "b"]).count() == 5000
+
+
 def test_zorder_splits_one_hot_value(spark):
     df = spark.range(4000).select(F.lit(1).alias("a"), F.col("id"))
     sizes = sinks.zorder_cluster(df, ["a"], files=4).groupBy(F.spark_partition_id()).count()
