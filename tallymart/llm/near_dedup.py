@@ -15,7 +15,7 @@ falls short with probability 3e-4, one at 0.8 with 2e-6).
   with the members behind it that are not yet in its component. Lists whose remaining
   members are all in one component are done. That settles groups of near copies. What
   still mixes components are lists of texts that are alike, but not enough. Their members
-  are compared in blocks of ``BLOCK``, two blocks to a task, by 512 one-byte minimum hashes;
+  are compared in blocks of ``BLOCK``, two blocks to a task, by 768 one-byte minimum hashes;
   only pairs that agree on ``BYTE_MATCHES`` leave the task. Every pair of a list is thus
   compared or already known to be connected, and no cap is needed.
 * **Confirmation** counts intersection and union of the full shingle sets.
@@ -35,9 +35,9 @@ from . import words as W
 from .common import arrow_batches, lookup, stored
 
 SHINGLE, COORDINATES, MATCHES, PERCENT = 5, 56, 31, 75
-#: Leaders per list in the rounds of pairs; then blocks. BYTE_MATCHES of BYTES: 384 expected
-#: at a similarity of 0.75, 348 is 3.7 standard deviations below.
-LEADERS, BLOCK, BYTES, BYTE_MATCHES = (1, 3), 256, 512, 348
+#: Leaders per list in the rounds of pairs; then blocks. BYTE_MATCHES of BYTES: 577 expected
+#: at a similarity of 0.75, 532 is 3.7 standard deviations below.
+LEADERS, BLOCK, BYTES, BYTE_MATCHES = (1, 2), 256, 768, 532
 #: Rows (three integers each) up to which the list of candidate texts is broadcast.
 CANDIDATE_ROWS = 300_000
 
@@ -155,17 +155,19 @@ def _agreeing(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def agreeing(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose signatures agree on ``MATCHES`` coordinates."""
+    side = lambda x: profiles.select(F.col("cls").alias(x), F.col("signature").alias(f"of_{x}"))
+    same = F.zip_with("of_a", "of_b", lambda x, y: (x == y).cast("int"))
+    count = F.aggregate(same, F.lit(0), lambda total, x: total + x)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(count >= MATCHES).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) with enough agreeing coordinates and enough common shingles."""
-    # the sketches of a pair move before its texts do
-    side = lambda x, c: profiles.select(F.col("cls").alias(x), F.col(c).alias(f"{c}_{x}"))
-    agree = F.aggregate(
-        F.zip_with("signature_a", "signature_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
-    )
-    close = pairs.join(side("a", "signature"), "a").join(side("b", "signature"), "b")
-    close = close.filter(agree >= MATCHES).select("a", "b")
-    texts = close.join(side("a", "text"), "a").join(side("b", "text"), "b")
-    return arrow_batches(texts.select("a", "b", "text_a", "text_b"), _confirm, "a bigint, b bigint")
+    """Those of the pairs (a, b) with enough common shingles."""
+    side = lambda x: profiles.select(F.col("cls").alias(x), F.col("text").alias(f"text_{x}"))
+    texts = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+    return arrow_batches(texts, _confirm, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,6 +246,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
                 .select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
                 .distinct()
             )
+            pairs = agreeing(pairs, profiles)
         new = stored(confirmed(pairs, profiles), "links")
         if not new.isEmpty():
             links = new if links is None else stored(links.union(new), "links")

@@ -27,3 +27,27 @@ SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_
   doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
 FROM sizes LEFT JOIN least_of ON a = doc_id
 """
+
+MIXING = rf"""
+WITH sizes AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+    CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))), 1, 13)
+      AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS coin
+  FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS n FROM sizes GROUP BY source),
+weighed AS (
+  SELECT source, n, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM totals),
+levels AS (
+  SELECT *, (CAST(sum(n) OVER () AS DOUBLE) * 1.5
+      - coalesce(CAST(sum(2 * n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
+    / CAST(sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM weighed WINDOW o AS (ORDER BY CAST(n AS DOUBLE) / w, source NULLS LAST)),
+targets AS (SELECT source, n, least(CAST(2 * n AS DOUBLE), max(level) OVER () * w) AS target FROM levels),
+rated AS (
+  SELECT s.doc_id, s.size, t.n AS source_size, t.target, s.coin,
+    CASE WHEN t.n > 0 THEN t.target / t.n ELSE 0.0 END AS rate
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+counted AS (
+  SELECT *, CAST(floor(rate) AS INTEGER) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM rated)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM counted
+"""
