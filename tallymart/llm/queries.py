@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, near_dedup, quality, secrets, sql
+from . import decontaminate, language, mixing, near_dedup, quality, secrets, sql
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": lambda spark, d: decontaminate.leaks(
+        table(spark, d, "documents"), table(spark, d, "benchmark")
+    ),
     "op2_secret_scan": lambda spark, d: secrets.secret_table(table(spark, d, "documents")),
     "op3_mix_sources": lambda spark, d: mixing.mixture_table(table(spark, d, "documents")),
     "op4_language_id": lambda spark, d: language.language_table(table(spark, d, "documents")),
