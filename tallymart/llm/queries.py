@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, near_dedup, quality, secrets, sql
+from . import chat, decontaminate, language, licenses, mixing, near_dedup, quality, secrets, sql
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": lambda spark, d: mixing.mixture_table(table(spark, d, "documents")),
     "op4_language_id": lambda spark, d: language.language_table(table(spark, d, "documents")),
     "op6_near_dedup": lambda spark, d: near_dedup.near_duplicates(table(spark, d, "documents")),
+    "op7_chat_format": lambda spark, d: chat.chat_table(spark, table(spark, d, "conversations")),
+    "op8_license_scan": lambda spark, d: licenses.license_table(table(spark, d, "documents")),
     "op10_quality_rules": lambda spark, d: quality.quality_table(
         table(spark, d, "documents"), table(spark, d, "labels")
     ),
@@ -24,5 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mix_sources": sql.MIXING,
+    "op8_license_scan": sql.license_sql(
+        licenses.KNOWN, licenses.SPELLINGS, licenses.COPYRIGHT_LINE, licenses.NOT_WORD
+    ),
     "op6_near_dedup": sql.NEAR_DEDUP,
 }

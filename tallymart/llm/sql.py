@@ -51,3 +51,27 @@ counted AS (
   SELECT *, CAST(floor(rate) AS INTEGER) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM rated)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, copies FROM counted
 """
+
+
+def license_sql(known, spellings, copyright_line, not_word) -> str:
+    def canonical(x: str) -> str:
+        small = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        out = f"regexp_replace({small}, '{copyright_line}', chr(10), 'g')"
+        out = f"' ' || trim(regexp_replace({out}, '{not_word}', ' ', 'g')) || ' '"
+        for a, b in spellings.items():
+            out = f"replace({out}, ' {a} ', ' {b} ')"
+        return f"sha256(trim({out}))"
+
+    values = ", ".join(f"('{name}', '{text}')" for name, text in known)
+    return f"""
+WITH known AS (
+  SELECT {canonical('t')} AS digest, min(name) AS license FROM (VALUES {values}) v(name, t) GROUP BY 1),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+found AS (
+  SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n
+  FROM lines JOIN known ON known.digest = {canonical('line')} WHERE length(trim(line)) > 0 GROUP BY r)
+SELECT doc_id, {canonical('text')} AS text_digest, license, coalesce(line_licenses, '') AS line_licenses,
+  coalesce(n, 0) AS n_license_lines
+FROM docs LEFT JOIN found USING (r) LEFT JOIN known ON known.digest = {canonical('text')}
+"""
