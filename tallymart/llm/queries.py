@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, licenses, mixing, near_dedup, quality, secrets, sql
+from . import chat, decontaminate, language, licenses, lm, mixing, near_dedup, quality, secrets, sql
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_near_dedup": lambda spark, d: near_dedup.near_duplicates(table(spark, d, "documents")),
     "op7_chat_format": lambda spark, d: chat.chat_table(spark, table(spark, d, "conversations")),
     "op8_license_scan": lambda spark, d: licenses.license_table(table(spark, d, "documents")),
+    "op9_lm_score": lambda spark, d: lm.score_table(table(spark, d, "documents")),
     "op10_quality_rules": lambda spark, d: quality.quality_table(
         table(spark, d, "documents"), table(spark, d, "labels")
     ),
