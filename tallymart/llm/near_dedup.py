@@ -265,19 +265,17 @@ def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
-
-    component_id is the least doc_id reachable over links. Rows without words, or
-    without a doc_id, are linked with nothing: they are their own component and kept.
-    Rows that repeat a doc_id with the same text share its component, and with another
-    text count as documents of their own. Other columns of ``docs`` are not read.
-    """
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept: one row per row of ``docs``."""
     sketch = stored(sketches(docs.select("doc_id", "text")), "sketch")
     classes = (
         sketch.filter("set_key is not null and doc_id is not null")
         .groupBy("set_key")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("least"),
+            F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n"),
+        )
         .select("set_key", "least.*", "signature", "n", F.monotonically_increasing_id().alias("cls"))
     )
     classes = stored(classes, "classes")
@@ -290,9 +288,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         component = component.join(least, "cls", "left").withColumn(
             "component_id", F.coalesce("least_id", "component_id")
         )
-    rows = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    # a row without a doc_id has no key to join by and stays alone
+    rows = sketch.withColumn("set_key", F.when(F.col("doc_id").isNotNull(), F.col("set_key")))
     return (
         rows.join(component.select("set_key", "component_id"), "set_key", "left")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "text_hash", "n_shingles", "component_id", "kept")
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
+
+    component_id is the least doc_id reachable over links. Rows without words, or
+    without a doc_id, are linked with nothing: they are their own component and kept.
+    Rows that repeat a doc_id with the same text share its component, and with another
+    text count as documents of their own. Other columns of ``docs`` are not read.
+    """
+    return judged(docs).drop("text_hash")
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each group of near-duplicates.
+
+    Of rows that repeat both doc_id and text, the first by the remaining columns stays.
+    """
+    found = stored(judged(docs), "judged")
+    key = ["doc_id", "_text_hash"]
+    found = found.withColumnRenamed("text_hash", "_text_hash")
+    dropped = stored(found.filter("not kept").select(*key).distinct(), "dropped")
+    rows = lookup(docs.withColumn("_text_hash", F.xxhash64("text")), dropped, key, "left_anti", CANDIDATE_ROWS)
+    again = found.filter("kept and doc_id is not null and n_shingles > 0").groupBy(*key).count()
+    again = stored(again.filter("count > 1").select(*key), "repeated")
+    if not again.isEmpty():
+        others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy(*(others or [F.lit(0)])))
+        first = lookup(rows, again, key, "left_semi", CANDIDATE_ROWS).withColumn("_rank", rank)
+        rest = lookup(rows, again, key, "left_anti", CANDIDATE_ROWS)
+        rows = rest.unionByName(first.filter("_rank = 1").drop("_rank"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language, licenses, lm, mixing, near_dedup, quality, secrets, sql
+from . import chat, decontaminate, html_text, language, licenses, lm, mixing, near_dedup, quality, secrets, sql
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": lambda spark, d: secrets.secret_table(table(spark, d, "documents")),
     "op3_mix_sources": lambda spark, d: mixing.mixture_table(table(spark, d, "documents")),
     "op4_language_id": lambda spark, d: language.language_table(table(spark, d, "documents")),
+    "op5_html_text": lambda spark, d: html_text.extract(table(spark, d, "pages")),
     "op6_near_dedup": lambda spark, d: near_dedup.near_duplicates(table(spark, d, "documents")),
     "op7_chat_format": lambda spark, d: chat.chat_table(spark, table(spark, d, "conversations")),
     "op8_license_scan": lambda spark, d: licenses.license_table(table(spark, d, "documents")),
