@@ -2,7 +2,7 @@
 
 * **Counts** of all words of the training documents are summed by Spark and stored. Words
   are 64-bit hashes of their lower-case bytes; every text ends with an end token.
-* **Encoding.** The ``COMMON`` most frequent words, a fixed number, travel to every task,
+* **Encoding.** The most frequent words, ``COMMON`` at most, travel to every task,
   which turns texts into ids of the recurrent model's ``VOCABULARY`` and sums the counts'
   part of the scores. Words beyond the common ones are kept with the text and meet their
   counts in a join.
@@ -86,7 +86,11 @@ class Lexicon(NamedTuple):
 
 def lexicon(counts: DataFrame, common: int = COMMON, vocabulary: int = VOCABULARY) -> Lexicon:
     all_words = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(common).toPandas()
+    level = F.floor(F.log2("c") * 8)  # counts in eighths of a doubling: a few hundred levels
+    levels = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("level")
+    fits = levels["level"][levels["n"][::-1].cumsum()[::-1] <= common]
+    top = counts.filter(level >= int(fits.min())) if len(fits) else counts.limit(0)
+    top = top.toPandas().sort_values(["c", "word"], ascending=[False, True])
     word, count = top["word"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     ids = np.full(len(word), OTHER, np.int64)
     ends = word == END_WORD
