@@ -99,76 +99,112 @@ def upper_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.070565888 * z * z * z))
 
 
-def _tested(value: Column, name: str) -> Column:
-    """struct<encoding, length, fit, prose>: p-values of randomness and of prose."""
-    alphabet, size = ALPHABETS[name], float(len(ALPHABETS[name]))
-    same, cube = PROSE.get(name, PROSE_LETTERS)
-    body = F.rtrim(value, F.lit("=")) if name != "hex" else F.lower(value)
-    chars = F.filter(F.split(body, ""), lambda c: c != "")
-    length = F.length(body).cast("double")
-    squares = F.aggregate(
-        F.array_distinct(chars),
-        F.lit(0.0),
-        lambda total, c: total + F.pow(length - F.length(F.replace(body, c, F.lit(""))), F.lit(2.0)),
-    )
-    k = size - 1
-    chi = size / length * squares - length
-    wilson = (F.cbrt(chi / k) - (1 - 2 / (9 * k))) / (2 / (9 * k)) ** 0.5
-    code = F.transform(chars, lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1)  # position in the alphabet
-    pairs = F.arrays_zip(F.slice(code, 1, F.size(code) - 1).alias("x"), F.slice(code, 2, F.size(code) - 1).alias("y"))
-    add = lambda rows, f: F.aggregate(rows, F.lit(0.0), lambda total, x: total + f(x))
-    high = add(code, lambda c: (c >= size / 2).cast("double"))
-    low = length - high
-    runs = 1 + add(pairs, lambda p: ((p["x"] >= size / 2) != (p["y"] >= size / 2)).cast("double"))
-    expected = 2 * high * low / length + 1
-    spread = F.sqrt(F.greatest((expected - 1) * (expected - 2) / (length - 1), F.lit(1e-9)))
-    mean = add(code, lambda c: c) / length
-    power = F.greatest(add(code, lambda c: (c - mean) * (c - mean)), F.lit(1e-9))
-    serial = add(pairs, lambda p: (p["x"] - mean) * (p["y"] - mean)) / power
+def _with(rows: Column, **fields) -> Column:
+    """Structs of ``rows`` with more fields, each a function of the struct."""
+
+    def step(x):
+        out = x
+        for name, field in fields.items():
+            out = out.withField(name, field(x))
+        return out
+
+    return F.transform(rows, step)
+
+
+def battery(rows: Column) -> Column:
+    """structs (start, end, value) with encoding, length, and the p-values fit and prose.
+
+    Strings that hold no letter or no digit, or fit no alphabet, are left out. Values are
+    computed step by step, so each is used by name and not repeated in the expression.
+    """
+    by = lambda of, x: F.element_at(F.create_map(*[F.lit(y) for pair in of.items() for y in pair]), x["encoding"])
+    add = lambda items, f: F.aggregate(items, F.lit(0.0), lambda total, y: total + f(y))
     both = lambda z: 2 * upper_tail(F.abs(z))
-    fit = F.least(
-        upper_tail(wilson), both((runs - expected) / spread), both((serial + 1 / length) * F.sqrt(length))
+    hexed = {name: name == "hex" for name in ALPHABETS}
+    encodings = [
+        ("hex", "^([0-9a-f]+|[0-9A-F]+)$"), ("base32", "^[A-Z2-7]+$"), ("base36", "^[a-z0-9]+$"),
+        ("base64", "^[A-Za-z0-9+/]+$"), ("base64url", "^[A-Za-z0-9_-]+$"),
+    ]
+    rows = _with(rows, body=lambda x: F.rtrim(x["value"], F.lit("=")))
+    rows = F.filter(
+        rows, lambda x: x["body"].rlike("[0-9]") & x["body"].rlike("[A-Za-z]") & (F.length(x["body"]) >= 20)
     )
-    equal = (squares - length) / (length * (length - 1))
-    noise = 2 * same * (1 - same) / (length * (length - 1)) + 4 * (length - 2) * (cube - same * same) / (length * (length - 1))
-    return F.struct(
-        F.lit(name).alias("encoding"),
-        F.length(body).alias("length"),
-        F.least(3 * fit, F.lit(1.0)).alias("fit"),
-        upper_tail((same - equal) / F.sqrt(noise)).alias("prose"),
+    encoding = lambda x: reduce(
+        lambda rest, e: F.when(x["body"].rlike(e[1]), F.lit(e[0])).otherwise(rest), reversed(encodings), F.lit(None).cast("string")
+    )
+    rows = F.filter(_with(rows, encoding=encoding), lambda x: x["encoding"].isNotNull())
+    rows = _with(
+        rows,
+        alphabet=lambda x: by(ALPHABETS, x),
+        size=lambda x: by({n: float(len(a)) for n, a in ALPHABETS.items()}, x),
+        same=lambda x: by({n: PROSE.get(n, PROSE_LETTERS)[0] for n in ALPHABETS}, x),
+        cube=lambda x: by({n: PROSE.get(n, PROSE_LETTERS)[1] for n in ALPHABETS}, x),
+        body=lambda x: F.when(by(hexed, x), F.lower(x["body"])).otherwise(x["body"]),
+        length=lambda x: F.length(x["body"]).cast("double"),
+    )
+    rows = _with(rows, chars=lambda x: F.filter(F.split(x["body"], ""), lambda c: c != ""))
+    rows = _with(
+        rows,
+        code=lambda x: F.transform(x["chars"], lambda c: F.instr(x["alphabet"], c).cast("double") - 1),
+        squares=lambda x: add(
+            F.array_distinct(x["chars"]),
+            lambda c: F.pow(x["length"] - F.length(F.replace(x["body"], c, F.lit(""))), F.lit(2.0)),
+        ),
+    )
+    rows = _with(
+        rows,
+        pairs=lambda x: F.zip_with(
+            F.slice(x["code"], 1, F.size(x["code"]) - 1), F.slice(x["code"], 2, F.size(x["code"]) - 1),
+            lambda p, q: F.struct(p.alias("p"), q.alias("q")),
+        ),
+        high=lambda x: add(x["code"], lambda c: (c >= x["size"] / 2).cast("double")),
+        mean=lambda x: add(x["code"], lambda c: c) / x["length"],
+        k=lambda x: x["size"] - 1,
+        equal=lambda x: (x["squares"] - x["length"]) / (x["length"] * (x["length"] - 1)),
+        noise=lambda x: 2 * x["same"] * (1 - x["same"]) / (x["length"] * (x["length"] - 1))
+        + 4 * (x["length"] - 2) * (x["cube"] - x["same"] * x["same"]) / (x["length"] * (x["length"] - 1)),
+    )
+    rows = _with(
+        rows,
+        chi=lambda x: x["size"] / x["length"] * x["squares"] - x["length"],
+        runs=lambda x: 1 + add(x["pairs"], lambda y: ((y["p"] >= x["size"] / 2) != (y["q"] >= x["size"] / 2)).cast("double")),
+        expected=lambda x: 2 * x["high"] * (x["length"] - x["high"]) / x["length"] + 1,
+        serial=lambda x: add(x["pairs"], lambda y: (y["p"] - x["mean"]) * (y["q"] - x["mean"]))
+        / F.greatest(add(x["code"], lambda c: (c - x["mean"]) * (c - x["mean"])), F.lit(1e-9)),
+    )
+    rows = _with(
+        rows,
+        uniform=lambda x: upper_tail((F.cbrt(x["chi"] / x["k"]) - (1 - 2 / (9 * x["k"]))) / F.sqrt(2 / (9 * x["k"]))),
+        order=lambda x: both(
+            (x["runs"] - x["expected"])
+            / F.sqrt(F.greatest((x["expected"] - 1) * (x["expected"] - 2) / (x["length"] - 1), F.lit(1e-9)))
+        ),
+        lag=lambda x: both((x["serial"] + 1 / x["length"]) * F.sqrt(x["length"])),
+        prose=lambda x: upper_tail((x["same"] - x["equal"]) / F.sqrt(x["noise"])),
+    )
+    return F.transform(
+        rows,
+        lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["encoding"].alias("encoding"), x["length"].alias("length"),
+            F.least(3 * F.least(x["uniform"], x["order"], x["lag"]), F.lit(1.0)).alias("fit"), x["prose"].alias("prose"),
+        ),
     )
-
-
-def battery(value: Column) -> Column:
-    """Tests of a candidate in its inferred encoding; null for strings of no encoding."""
-    body = F.rtrim(value, F.lit("="))
-    letter_and_digit = body.rlike("[0-9]") & body.rlike("[A-Za-z]") & (F.length(body) >= 20)
-    of = {
-        "hex": body.rlike("^([0-9a-f]+|[0-9A-F]+)$"),
-        "base32": body.rlike("^[A-Z2-7]+$"),
-        "base36": body.rlike("^[a-z0-9]+$"),
-        "base64": body.rlike("^[A-Za-z0-9+/]+$"),
-        "base64url": body.rlike("^[A-Za-z0-9_-]+$"),
-    }
-    return reduce(lambda rest, name: F.when(letter_and_digit & of[name], _tested(value, name)).otherwise(rest), reversed(of), F.lit(None))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with _base (spans of the base kinds) and _candidates (span and tests).
+    """``docs`` with _base (spans of the base kinds) and _candidates (spans and their tests).
 
     A null text counts as empty. Candidates that overlap a base span are left out.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     based = docs.withColumn("_base", base_spans(content)).withColumn("_found", matches(content, CANDIDATE))
     apart = lambda start, end: ~F.exists("_base", lambda b: (b["start"] < end) & (start < b["end"]))
-    free = F.filter("_found", lambda x: apart(x["start"], x["start"] + F.length(x["value"])))
-    tested = F.transform(
-        free,
-        lambda x: F.struct(
-            x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"), battery(x["value"]).alias("test")
-        ),
+    named = F.transform(
+        "_found",
+        lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value")),
     )
-    return based.withColumn("_candidates", F.filter(tested, lambda x: x["test"].isNotNull())).drop("_found")
+    free = F.filter(named, lambda x: apart(x["start"], x["end"]))
+    return based.withColumn("_candidates", battery(free)).drop("_found")
 
 
 def _stratum(test: Column) -> Column:
@@ -182,7 +218,7 @@ def _step(p: Column) -> Column:
 
 def discovery_steps(scanned: DataFrame, q: float = Q) -> dict[str, int]:
     """For each encoding and length class, the least step that keeps false discoveries to ``q``."""
-    tests = scanned.select(F.explode("_candidates.test").alias("t"))
+    tests = scanned.select(F.explode("_candidates").alias("t"))
     # a candidate that does not look random is counted among those tested, never discovered
     step = F.when(F.col("t.fit") >= FIT, _step(F.col("t.prose"))).otherwise(-1)
     grid = tests.groupBy(_stratum(F.col("t")).alias("stratum"), step.alias("step")).agg(F.count(F.lit(1)).alias("n"))
@@ -201,7 +237,7 @@ def with_spans(scanned: DataFrame, steps: dict[str, int]) -> DataFrame:
     least = F.create_map(*[F.lit(x) for pair in sorted(steps.items()) for x in pair])
     good = F.filter(
         "_candidates",
-        lambda x: (x["test"]["fit"] >= FIT) & (_step(x["test"]["prose"]) >= F.element_at(least, _stratum(x["test"]))),
+        lambda x: (x["fit"] >= FIT) & (_step(x["prose"]) >= F.element_at(least, _stratum(x))),
     )
     spans = F.transform(good, lambda x: F.struct(x["start"], F.lit(KINDS.index("random")).alias("kind"), x["end"]))
     return scanned.withColumn("_spans", F.sort_array(F.concat("_base", spans.cast(SPAN))))
@@ -248,11 +284,15 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs``; secrets in the text are marked, n_chars follows if present."""
+    """All rows and columns of ``docs``; secrets in the text are marked, n_chars follows if present.
+
+    The rows are stored with what was found in them: the patterns run once, and the
+    thresholds need all candidates before any text is changed.
+    """
     names = docs.columns
-    rows = with_spans(scan(docs), discovery_steps(scan(docs.select("text")))).withColumn(
-        "text", redacted(F.col("text"), F.col("_spans"))
-    )
+    scanned = stored(scan(docs), "scanned")
+    rows = with_spans(scanned, discovery_steps(scanned))
+    rows = rows.withColumn("text", redacted(F.col("text"), F.col("_spans")))
     if "n_chars" in names:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(F.size("_spans") > 0, changed).otherwise(F.col("n_chars")))
