@@ -140,7 +140,12 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreeing(table: pa.Table) -> pa.Table:
-    """Pairs of two blocks (side 0 and 1; or of one block) that agree on enough bytes."""
+    """Pairs of two blocks (side 0 and 1; or of one block) that agree on enough bytes.
+
+    Two texts may meet in many lists; a pair is given in the least list of both only.
+    """
+    here = table.column("token")[0].as_py() if len(table) else None
+    lists = [set(x) for x in table.column("lists").to_pylist()]
     side, cls, comp, n = (table.column(c).to_numpy() for c in ("side", "cls", "comp", "n"))
     bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, BYTES)
     other = np.flatnonzero(side == 1)
@@ -150,7 +155,8 @@ def _agreeing(table: pa.Table) -> pa.Table:
         fits = (comp[against] != comp[k]) & (100 * np.minimum(n[against], n[k]) >= PERCENT * np.maximum(n[against], n[k]))
         against = against[fits]
         agree = (bits[against] == bits[k]).sum(axis=1)
-        pairs.append(np.stack([np.full(len(against), cls[k]), cls[against]])[:, agree >= BYTE_MATCHES])
+        close = [x for x in against[agree >= BYTE_MATCHES] if min(lists[k] & lists[x]) == here]
+        pairs.append(np.stack([np.full(len(close), cls[k]), cls[close]]) if close else np.zeros((2, 0), np.int64))
     a, b = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -203,6 +209,8 @@ def block_pairs(posted: DataFrame, profiles: DataFrame) -> DataFrame:
     lists = posted.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
     block = ((F.col("rank") - F.col("low")) / BLOCK).cast("int")
     last = ((F.col("high") - F.col("low")) / BLOCK).cast("int")
+    carried = posted.groupBy("cls").agg(F.collect_list("token").alias("lists"))  # of one text, so few
+    carried = profiles.select("cls", "bits").join(carried, "cls")
     dealt = (
         posted.join(lists, "token")
         .select("token", "cls", "comp", "n", block.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
@@ -210,9 +218,9 @@ def block_pairs(posted: DataFrame, profiles: DataFrame) -> DataFrame:
             "token", "cls", "comp", "n", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
             (F.col("own") > F.col("other")).cast("int").alias("side"),
         )
-        .join(profiles.select("cls", "bits"), "cls")
+        .join(carried, "cls")
     )
-    return dealt.groupBy("token", "i", "j").applyInArrow(_agreeing, "a bigint, b bigint").distinct()
+    return dealt.groupBy("token", "i", "j").applyInArrow(_agreeing, "a bigint, b bigint")
 
 
 def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
