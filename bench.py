@@ -19,9 +19,11 @@ from tallymart.plans import catalog
 from tallymart.session import get_session
 
 HEADLINE = [
-    "silver_user_sessions", "silver_session_actions", "fact_order", "fact_order_items",
-    "feat_user_behavior_3d", "bi_kpi", "bi_daily_ma7", "bi_top_products",
-    "bi_category_share", "bi_province_heatmap", "campaign_upsert", "stream_daily_activity",
+    "silver_user_sessions", "silver_session_actions", "silver_order_items", "fact_order",
+    "fact_order_items", "feat_user_behavior_3d", "bi_kpi", "bi_monthly_mom", "bi_daily_ma7",
+    "bi_top_products", "bi_category_share", "bi_province_heatmap", "bi_payment_monthly",
+    "campaign_rule_scored", "campaign_upsert", "dq_order_total_reconcile", "dq_relationships",
+    "zorder_cluster", "stream_daily_activity",
 ]
 
 

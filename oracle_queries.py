@@ -401,7 +401,6 @@ def _describe() -> str:
 
 _SESSION_COLUMNS = "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM silver_sessions"
 _CLICK_COLUMNS = "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg_clickstream"
-_MS = "date_trunc('milliseconds', event_timestamp)"
 _FACT_ORDER = """SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(discount_amt AS DOUBLE) AS discount_amt,
   CAST(sub_total AS DOUBLE) AS sub_total) FROM fact_order"""
 _BUCKET = "CAST('0x' || substr(md5(user_id || '|' || prediction_date), 1, 8) AS BIGINT) % 100"
@@ -418,8 +417,7 @@ CTES["later_tiers"] = """SELECT c.customer_id, c.tire AS old_tire, s.tire IS NOT
 BODIES: dict[str, str] = {
     "src_csv_roundtrip": """SELECT order_id, customer_id, order_timestamp AS order_date,
       CAST(total_amount AS DOUBLE) AS total_amount, payment_method_id, created_at, updated_at FROM stg_orders""",
-    "src_ndjson_scan": f"""SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue, {_MS} AS event_timestamp)
-      FROM stg_clickstream""",
+    "src_ndjson_scan": """SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg_clickstream""",
     "sink_partitioned_sessions": _SESSION_COLUMNS,
     "compact_partition": _SESSION_COLUMNS,
     "zorder_cluster": _FACT_ORDER,
@@ -636,11 +634,9 @@ BODIES: dict[str, str] = {
       UNION ALL SELECT {_CONTACT}, 'admin' FROM silver_customers""",
     "ingest_clickstream_stream": """SELECT ingest_date, count(*) AS records, CAST(sum(n_actions) AS BIGINT) AS actions
       FROM stg_clickstream GROUP BY ingest_date""",
-    "stream_dedup_sessions": "SELECT DISTINCT session_id, user_id FROM stg_clickstream",
-    "stream_daily_activity": """SELECT user_id, ingest_date AS activity_date, count(*) AS records,
-      CAST(sum(duration_seconds) AS BIGINT) AS duration, count(*) FILTER (WHERE has_purchase) AS purchases,
-      CAST(sum(revenue) AS DOUBLE) AS revenue FROM stg_clickstream GROUP BY user_id, ingest_date""",
+    "stream_dedup_sessions": _SESSION_COLUMNS,
 }
+BODIES["stream_daily_activity"] = BODIES["feat_daily_activity"]
 
 
 def _needed(sql: str, found: dict[str, str]) -> None:

@@ -71,8 +71,7 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 
 def dated(fact: DataFrame, days: DataFrame, *keys: str) -> DataFrame:
     """Order totals per day (and ``keys``) with the calendar columns."""
-    # the calendar's length is checked when it is built
-    return order_totals(fact, "date_key", *keys).join(F.broadcast(days), "date_key")
+    return order_totals(fact, "date_key", *keys).join(days, "date_key")
 
 
 def filter_orders(
@@ -188,7 +187,7 @@ def monthly_purchasers(fact: DataFrame, days: DataFrame) -> DataFrame:
     months = days.select("date_key", "year", "month", "month_name")
     per_buyer = (
         order_totals(fact, "date_key", "customer_key")
-        .join(F.broadcast(months), "date_key")
+        .join(months, "date_key")
         .groupBy("year", "month", "month_name", "customer_key")
         .agg(F.sum("orders").alias("orders"), F.sum("net").alias("net"))
     )
@@ -414,7 +413,7 @@ def payment_types(
 
 def payment_monthly(fact: DataFrame, methods: DataFrame, days: DataFrame) -> DataFrame:
     months = days.select("date_key", "year", "month", "month_year")
-    paid = _paid(fact, methods, "date_key").join(F.broadcast(months), "date_key")
+    paid = _paid(fact, methods, "date_key").join(months, "date_key")
     report = roll_up(paid, "year", "month", "month_year", "display_name", "payment_type").select(
         "year",
         "month",

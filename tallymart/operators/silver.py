@@ -87,9 +87,10 @@ def silver_session_actions(staged: DataFrame) -> DataFrame:
     sessions = latest_sessions(
         staged.select("session_id", "event_timestamp", "event_id", "user_id", "actions")
     ).filter(F.size("actions") > 0)
+    # an entry without content is no action, as in the daily totals
     ordered = F.array_sort(
         F.transform(
-            "actions",
+            F.filter("actions", lambda a: a.isNotNull()),
             lambda a, i: F.struct(
                 F.coalesce(a["time_offset"], F.lit(0)).alias("offset"),
                 F.trim(a["type"]).alias("kind"),

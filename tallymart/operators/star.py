@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import date_key
 from ..schemas import TOTAL
+from .dedup import dedup_latest
 from .skew import salted_join
 
-MAX_CALENDAR_DAYS = 100_000  # bound that makes the calendar safe to broadcast
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -47,9 +47,9 @@ def calendar(
 ) -> DataFrame:
     """One row per day from ``start`` to ``end`` inclusive."""
     days = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
-    if not 0 < days <= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {days} days is out of range")
-    span = spark.range(days, numPartitions=1).select(
+    if days <= 0:
+        raise ValueError("a calendar must not end before it starts")
+    span = spark.range(days).select(
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("calendar_date")
     )
     return _calendar_columns(span)
@@ -76,35 +76,52 @@ def dim_payment_method(methods: DataFrame, start: str = "2025-01-01") -> DataFra
 
 
 def scd2_apply(
-    history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: str
+    history: DataFrame,
+    snapshot: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: str,
+    order_by: Sequence[Column] = (),
 ) -> DataFrame:
     """Fold a new snapshot into a versioned history.
 
     A changed key has its current version closed on ``as_of`` and a new one opened;
     a new key is opened; an unchanged or absent key is left alone. A change of a
-    version that itself began on ``as_of`` replaces it, so a re-run is a no-op.
-    One full join, each matched pair yielding one or two rows.
+    version that itself began on ``as_of`` replaces it, so a re-run is a no-op, and a
+    version that began later than ``as_of`` is left alone: a snapshot from before it says
+    nothing new. Of repeated snapshot keys the first by ``order_by`` and the remaining
+    columns counts; rows without a key are left out. Untracked columns of the history go
+    along; a new version takes them from the snapshot where that has them.
     """
     day = F.lit(as_of).cast("date")
     tracked = list(tracked)
+    own = ["effective_start_date", "effective_end_date", "is_current"]
+    others = [c for c in history.columns if c not in (key, *tracked, *own)]
     past = history.filter("not is_current")
     cur = history.filter("is_current").select(
-        F.col(key), F.struct(*tracked).alias("old"),
+        F.col(key), F.struct(*tracked).alias("old"), F.struct(F.lit(0).alias("_"), *others).alias("had"),
         F.col("effective_start_date").alias("since"), F.lit(True).alias("known"),
     )
-    new = snapshot.select(F.col(key), F.struct(*tracked).alias("new"), F.lit(True).alias("seen"))
+    given = [c for c in others if c in snapshot.columns]
+    first = dedup_latest(snapshot.filter(F.col(key).isNotNull()), [key], order_by)
+    new = first.select(
+        F.col(key), F.struct(*tracked).alias("new"), F.struct(F.lit(0).alias("_"), *given).alias("has"),
+        F.lit(True).alias("seen"),
+    )
     joined = cur.join(new, key, "full")
 
     def version(values: str, start: Column, end: Column, current: bool) -> Column:
+        rest = {c: f"has.{c}" if values == "new" and c in given else f"had.{c}" for c in others}
         return F.struct(
             *[F.col(f"{values}.{c}").alias(c) for c in tracked],
+            *[F.col(source).alias(c) for c, source in rest.items()],
             start.alias("effective_start_date"),
             end.cast("date").alias("effective_end_date"),
             F.lit(current).alias("is_current"),
         )
 
     never = F.lit(None).cast("date")
-    same = F.col("old").eqNullSafe(F.col("new")) | F.col("seen").isNull()
+    same = F.col("old").eqNullSafe(F.col("new")) | F.col("seen").isNull() | (F.col("since") > day)
     opened = version("new", day, never, True)
     versions = (
         F.when(F.col("known").isNull(), F.array(opened))
@@ -113,7 +130,7 @@ def scd2_apply(
         .otherwise(F.array(version("old", F.col("since"), day, False), opened))
     )
     folded = joined.select(key, F.explode(versions).alias("v")).select(key, "v.*")
-    return past.select(*folded.columns).unionByName(folded)
+    return past.unionByName(folded).select(*history.columns)
 
 
 def denormalise(

@@ -18,7 +18,7 @@ from ..operators import (
     campaign, features, incremental, kpis, masking, propensity, quality, silver, staging, star,
 )
 from ..session import materialise, workspace
-from ..sources import files, sinks
+from ..sources import files, sinks, warehouse
 from ..streaming import ingest
 from .lakehouse import Lakehouse
 
@@ -45,15 +45,9 @@ def surface(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-_LAKES: dict[tuple[str, str], Lakehouse] = {}
-
-
 def lake_for(spark: SparkSession, folder: str) -> Lakehouse:
-    """One table graph per application and folder: plans are built once, data never kept."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _LAKES:
-        _LAKES[key] = Lakehouse(spark, folder)
-    return _LAKES[key]
+    """The table graph over the folder's files as they are now."""
+    return Lakehouse(spark, folder)
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -233,7 +227,7 @@ for _key, _report in {
     "bi_dow_profile": kpis.weekday_profile,
     "bi_monthly_purchasers": kpis.monthly_purchasers,
 }.items():
-    QUERIES[_key] = lambda lake, f=_report: f(lake.fact_order, lake.dim_date)
+    QUERIES[_key] = lambda lake, f=_report: f(lake.fact_order, lake.order_days)
 
 for _key, _report in {
     "bi_payment_share": kpis.payment_share,
@@ -260,7 +254,7 @@ def _(lake):
 
 @query("bi_payment_monthly")
 def _(lake):
-    return kpis.payment_monthly(lake.fact_order, lake.dim_payment_method, lake.dim_date)
+    return kpis.payment_monthly(lake.fact_order, lake.dim_payment_method, lake.order_days)
 
 
 @query("bi_top_products")
@@ -319,7 +313,7 @@ def _(lake):
     fact = kpis.filter_orders(
         lake.fact_order, "1996-01-01", "1999-12-31", "Hà Nội", lake.dim_customer
     )
-    return kpis.kpi(fact, lake.dim_date)
+    return kpis.kpi(fact, lake.order_days)
 
 
 @query("bi_reconciliation")
@@ -527,7 +521,7 @@ def _relations(lake):
         ("fact_order.customer", lake.fact_order, "customer_key", lake.customers, "customer_id"),
         ("fact_order.payment", lake.fact_order, "payment_method_key",
          lake.payment_methods, "payment_method_id"),
-        ("fact_order.date", lake.fact_order, "date_key", lake.dim_date, "date_key"),
+        ("fact_order.date", lake.fact_order, "date_key", lake.order_days, "date_key"),
         ("fact_items.order", lake.fact_order_items, "order_id", lake.fact_order, "order_id"),
         ("fact_items.customer", lake.fact_order_items, "customer_key",
          lake.customers, "customer_id"),
@@ -535,7 +529,7 @@ def _relations(lake):
          lake.dim_product, "product_id"),
         ("fact_items.payment", lake.fact_order_items, "payment_method_key",
          lake.payment_methods, "payment_method_id"),
-        ("fact_items.date", lake.fact_order_items, "order_date_key", lake.dim_date, "date_key"),
+        ("fact_items.date", lake.fact_order_items, "order_date_key", lake.order_days, "date_key"),
         ("orders.customer", lake.orders, "customer_id", lake.customers, "customer_id"),
         ("orders.payment", lake.orders, "payment_method_id",
          lake.payment_methods, "payment_method_id"),
@@ -678,7 +672,7 @@ def _run(query) -> None:
 @query("ingest_clickstream_stream")
 def _(lake):
     path = workspace(lake.spark, "landing")
-    raw = ingest.stream_raw(lake.spark, lake.folder)
+    raw = warehouse.stream_raw(lake.spark, lake.folder)
     _run(ingest.land_clickstream(raw, path, workspace(lake.spark, "checkpoint")))
     landed = files.read_clickstream(lake.spark, path)
     return landed.groupBy("ingest_date").agg(
@@ -688,26 +682,20 @@ def _(lake):
 
 @query("stream_dedup_sessions")
 def _(lake):
-    path = workspace(lake.spark, "dedup")
-    sessions = ingest.dedup_sessions(ingest.stream_raw(lake.spark, lake.folder))
-    _run(
-        sessions.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", workspace(lake.spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    # which record of a session comes first is up to the source; its identity is not
-    table = lake.spark.read.schema(sessions.schema).parquet(path)
-    return table.select("session_id", "user_id")
+    path = workspace(lake.spark, "sessions")
+    raw = warehouse.stream_raw(lake.spark, lake.folder)
+    _run(ingest.merge_sessions(raw, path, workspace(lake.spark, "checkpoint")))
+    staged = lake.staged("clickstream")
+    merged = lake.spark.read.schema(staged.schema).parquet(path)
+    return silver.silver_user_sessions(merged.drop("bucket"))
 
 
 @query("stream_daily_activity")
 def _(lake):
-    path = workspace(lake.spark, "daily")
-    daily = ingest.daily_events(ingest.stream_raw(lake.spark, lake.folder))
-    _run(ingest.write_changes(daily, path, workspace(lake.spark, "checkpoint")))
-    return ingest.read_changes(lake.spark, path, daily.schema, features.DAY)
+    sessions, daily = workspace(lake.spark, "sessions"), workspace(lake.spark, "daily")
+    raw = warehouse.stream_raw(lake.spark, lake.folder)
+    _run(ingest.merge_sessions(raw, sessions, workspace(lake.spark, "checkpoint"), daily=daily))
+    return ingest.read_daily(lake.spark, daily, lake.activity.schema).drop("month")
 
 
 @query("stream_campaign_upsert")

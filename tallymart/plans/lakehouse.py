@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features, silver, staging, star
 from ..sources import warehouse
@@ -78,6 +79,12 @@ class Lakehouse:
     def dim_date(self) -> DataFrame:
         return star.calendar(self.spark, *CALENDAR)
 
+    @cached_property
+    def order_days(self) -> DataFrame:
+        """The calendar of the reports: from the first to the last day with an order."""
+        days = self.orders.select(F.to_date("order_date").alias("day"))
+        return star.calendar_covering(days, "day")
+
     @cached_property
     def dim_payment_method(self) -> DataFrame:
         return star.dim_payment_method(self.payment_methods)

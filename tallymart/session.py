@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+#: Shared folder of a local master whose session names none in ``spark.checkpoint.dir``.
+LOCAL_SHARED = "/tmp/checkpoints"
 
 
 def get_session(app: str = "tallymart", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,14 +39,13 @@ def workspace(spark: SparkSession, name: str) -> str:
 
     Sinks, model files and streaming checkpoints all live there, so any executor
     or a restarted driver can read them. Only a local master, which has no other
-    machine to share with, may run without the setting.
+    machine to share with, may leave it unset and gets ``LOCAL_SHARED``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        app = spark.sparkContext.applicationId
-        base = _LOCAL_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="tallymart-"))
+        base = LOCAL_SHARED
     return f"{base.rstrip('/')}/tallymart/{name}-{uuid.uuid4().hex[:12]}"
 
 

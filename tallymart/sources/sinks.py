@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.incremental import upsert
-from ..session import materialise
+from .files import TIME
 
 YMD = ["year", "month", "day"]
 
@@ -34,7 +35,7 @@ def write_partitioned(
 
 def write_json_days(df: DataFrame, path: str, day: str = "ingest_date") -> None:
     """Write NDJSON, one folder per day."""
-    df.hint("rebalance", day).write.mode("overwrite").partitionBy(day).json(path)
+    df.hint("rebalance", day).write.mode("overwrite").options(**TIME).partitionBy(day).json(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -49,40 +50,35 @@ def upsert_partitioned(
     keys: Sequence[str],
     by: Sequence[str] = YMD,
     order_by: Sequence[Column] = (),
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> None:
     """Merge ``source`` into a partitioned table, rewriting only the partitions it touches.
 
     ``by`` must follow from ``keys``, so a key never moves between partitions. A dynamic
-    partition overwrite writes aside and swaps folders when the whole job has succeeded,
-    so the old files stay readable for lost tasks to be redone; running the same batch
-    again changes nothing.
+    partition overwrite writes aside and moves folder after folder into place once all
+    tasks have succeeded; a driver lost between two moves leaves some partitions old, and
+    running the same batch again completes them. ``merge(current, source)`` may replace
+    the plain upsert. The batch is kept beside the table, in a folder the next one reuses.
     """
-    source = materialise(spark, source, "delta")  # read several times below
+    schema, delta = source.schema, f"{path.rstrip('/')}-delta"
+    source.write.mode("overwrite").parquet(delta)  # read several times below
+    source = spark.read.schema(schema).parquet(delta)
     source.limit(0).write.mode("append").partitionBy(*by).parquet(path)  # table exists
     target = spark.read.schema(source.schema).parquet(path)
     current = _only_partitions(target, source.select(*by).distinct(), by)
-    write_partitioned(upsert(current, source, keys, order_by), path, by)
-
-
-MAX_LISTED_PARTITIONS = 1000
+    merged = merge(current, source) if merge else upsert(current, source, keys, order_by)
+    write_partitioned(merged, path, by)
 
 
 def _only_partitions(table: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of ``table`` in the ``touched`` partitions.
 
-    A short list of partitions becomes literals, so the scan skips all other folders;
-    a longer one (most of the table, then) stays a semi join.
+    The partitions become a set of literals, so the scan skips all other folders. They are
+    folder names of one batch, which the driver lists in any case when it writes them.
     """
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return table.join(touched, list(by), "left_semi").select(*table.columns)
-    wanted = F.lit(False)
-    for row in listed:
-        match = F.lit(True)
-        for c in by:
-            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
-        wanted = wanted | match
-    return table.filter(wanted)
+    name = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in by])
+    wanted = [row[0] for row in touched.select(name).distinct().collect()]
+    return table.filter(name.isin(wanted))
 
 
 def table_size(df: DataFrame) -> DataFrame:
@@ -103,19 +99,36 @@ def compact(
     where: Column | None = None,
     target_mb: int = 128,
 ) -> None:
-    """Rewrite small files as files near ``target_mb``, optionally only some partitions.
+    """Rewrite a table with files near ``target_mb``; ``where`` limits what is rewritten.
 
-    The row limit per file follows from the input's own bytes per row. Rebalancing by
-    partition value merges small files and splits a value that holds too much.
+    Each partition value (or the table) gets as many files as its bytes ask for, rows
+    dealt by a hash of their content. Rows outside ``where`` are carried over as they are,
+    so the target holds the whole table.
     """
     df = spark.read.parquet(source)
-    if where is not None:
-        df = df.filter(where)
-    size = table_size(df).first()
-    rows = df.count()
-    per_file = max(1, int(rows * target_mb * 1024 * 1024 / max(size["bytes"] or 1, 1)))
-    out = df.hint("rebalance", *by) if by else df.hint("rebalance")
-    writer = out.write.mode("overwrite").option("maxRecordsPerFile", per_file)
+    chosen = df if where is None else df.filter(where)
+    files = chosen.select(
+        *by, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size")
+    )
+    sizes = files.groupBy(*by, "_path").agg(F.max("_size").alias("_size"))
+    pieces = F.greatest(F.ceil(F.sum("_size") / (target_mb * 1024 * 1024)), F.lit(1)).cast("int")
+    spread = sizes.groupBy(*by).agg(pieces.alias("_pieces"))
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_pieces")).cast("int")
+    if by:
+        named = spread.withColumnsRenamed({c: f"_of_{c}" for c in by})
+        match = F.lit(True)
+        for c in by:
+            match = match & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        dealt = chosen.join(named, match, "left").withColumn("_salt", salt)
+        # one task may get several pieces: files are cut per partition value and piece
+        count = max(1, int(spread.agg(F.sum("_pieces")).first()[0] or 0))
+        dealt = dealt.repartition(count, *by, "_salt").select(*df.columns)
+    else:
+        count = spread.first()
+        dealt = chosen.repartition(count["_pieces"] if count and count["_pieces"] else 1)
+    rest = df.limit(0) if where is None else df.filter(~F.coalesce(where, F.lit(False)))
+    out = dealt if where is None else dealt.unionByName(rest)
+    writer = out.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(target)
 
 
@@ -123,11 +136,24 @@ def _numeric(df: DataFrame, col: str) -> Column:
     kind = df.schema[col].dataType
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType | T.BinaryType):  # the order of the first six bytes
+        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0")
+        return F.when(F.col(col).isNotNull(), F.conv(head, 16, 10).cast("double"))
     return F.col(col).cast("double")
 
 
+ROW_BYTES = 8
+
+
+def _size_of(df: DataFrame) -> int:
+    try:
+        return table_size(df).first()["bytes"] or 0
+    except AnalysisException:  # joined or computed: no file metadata
+        return df.count() * len(df.columns) * ROW_BYTES
+
+
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 6) -> DataFrame:
     """Add ``_z``: quantile rank of every column, bits interleaved.
 
@@ -161,14 +187,14 @@ def zorder_cluster(
 ) -> DataFrame:
     """Range-partition and sort by Z-order key.
 
-    The number of files follows from the size of the files ``df`` reads unless given.
+    The number of files follows from the size of the files ``df`` reads unless given; for a
+    frame that is not a plain table, from its rows at ``ROW_BYTES`` a column.
 
     A content hash follows the key in the range, so rows sharing one Z value can be
     split over several files.
     """
     if files is None:
-        size = table_size(df).first()["bytes"] or 0
-        files = max(1, -(-size // (target_mb * 1024 * 1024)))
+        files = max(1, -(-_size_of(df) // (target_mb * 1024 * 1024)))
     keyed = zorder_key(df, cols, bits).withColumn("_h", F.xxhash64(*df.columns))
     return (
         keyed.repartitionByRange(files, "_z", "_h")

@@ -12,28 +12,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..operators.dedup import dedup_latest
+from ..operators.features import DAY, activity_from_log
+from ..operators.incremental import upsert
+from ..operators.silver import latest_sessions
 from ..operators.staging import stage_clickstream
+from ..sources.files import TIME
 from ..sources.sinks import upsert_partitioned
-from ..sources.warehouse import clickstream
-
-
-def stream_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw clickstream as a stream over the event table.
-
-    The table may be a folder of part files or one file; a file source reads folders
-    only, so the single file is picked out of its folder by name.
-    """
-    folder = folder.rstrip("/")
-    table = spark.read.parquet(f"{folder}/events.parquet")
-    reader = spark.readStream.schema(table.schema)
-    part = table.select("_metadata.file_path").first()
-    if part is not None and part[0].endswith("/events.parquet"):
-        events = reader.option("pathGlobFilter", "events.parquet").parquet(folder)
-    else:
-        events = reader.parquet(f"{folder}/events.parquet")
-    return clickstream(events)
 
 
 def land_clickstream(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -43,6 +29,7 @@ def land_clickstream(raw: DataFrame, path: str, checkpoint: str) -> StreamingQue
         .writeStream.format("json")
         .partitionBy("ingest_date")
         .option("path", path)
+        .options(**TIME)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
@@ -50,68 +37,73 @@ def land_clickstream(raw: DataFrame, path: str, checkpoint: str) -> StreamingQue
     )
 
 
-def dedup_sessions(raw: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """First record of every session; state is dropped once the watermark passes it."""
-    staged = stage_clickstream(raw).select("session_id", "user_id", "event_timestamp")
-    return staged.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(
-        ["session_id"]
-    )
+#: Folders of the merged session table; a batch rewrites those its sessions fall in.
+BUCKETS = 64
 
 
-def daily_events(raw: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Records, purchases and revenue per user and day.
-
-    The event time is the start of the record's day in the session's time zone. A day
-    is closed, its state dropped and its late rows ignored once a record from ``delay``
-    or more after it has been seen.
-    """
-    staged = stage_clickstream(raw).filter("user_id is not null")
-    return (
-        staged.withColumn("day_start", F.date_trunc("day", "event_timestamp"))
-        .withWatermark("day_start", delay)
-        .groupBy("day_start", "user_id")
-        .agg(
-            F.count("event_id").alias("records"),
-            F.sum("duration_seconds").alias("duration"),
-            F.count_if("has_purchase").alias("purchases"),
-            F.sum("revenue").alias("revenue"),
-        )
-        .select(
-            "user_id",
-            F.to_date("day_start").alias("activity_date"),
-            "records",
-            "duration",
-            "purchases",
-            F.col("revenue").cast("decimal(18,2)").alias("revenue"),
-        )
-    )
+def _bucketed(staged: DataFrame, buckets: int) -> DataFrame:
+    bucket = F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int")
+    return latest_sessions(staged).withColumn("bucket", bucket)
 
 
-def _write_batch(path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # its own folder per batch: a replayed batch overwrites itself, nothing else
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def merge_sessions(
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    buckets: int = BUCKETS,
+    daily: str | None = None,
+) -> StreamingQuery:
+    """Keep the newest record of every session, all columns, in a table at ``path``.
 
-    return write
+    Each batch is merged by session, so records may come late, again, and in any order:
+    no watermark, nothing is dropped, and the table equals the batch dedup of all records
+    seen. With ``daily``, the table of daily activity there is brought up to date as well.
+    """
 
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = _bucketed(stage_clickstream(batch), buckets)
+        if daily:
+            # days the sessions counted in before; kept per batch, so a replay still knows them
+            touched = f"{daily.rstrip('/')}-touched/batch_id={batch_id}"
+            fresh.limit(0).write.mode("append").partitionBy("bucket").parquet(path)
+            known = spark.read.schema(fresh.schema).parquet(path)
+            before = known.join(fresh.select("session_id"), "session_id", "left_semi")
+            days = activity_from_log(fresh).select(*DAY).union(activity_from_log(before).select(*DAY))
+            days.distinct().write.mode("append").parquet(touched)
+        newest = lambda current, new: latest_sessions(current.unionByName(new))
+        upsert_partitioned(spark, path, fresh, ["session_id"], ["bucket"], merge=newest)
+        if daily:
+            days = spark.read.schema("user_id bigint, activity_date date").parquet(touched).distinct()
+            sessions = spark.read.schema(fresh.schema).parquet(path)
+            owned = sessions.join(days.select("user_id").distinct(), "user_id", "left_semi")
+            now = activity_from_log(owned).join(days, DAY, "left_semi")
+            _replace_days(spark, daily, now, days)
 
-def write_changes(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write every batch of updated rows to its own folder of a change log."""
     return (
-        updates.writeStream.foreachBatch(_write_batch(path))
+        raw.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
-        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_changes(spark: SparkSession, path: str, schema, keys: Sequence[str]) -> DataFrame:
-    """The latest version of every key in a change log."""
-    log = spark.read.schema(schema).option("basePath", path).parquet(path)
-    log = log.withColumn("_batch", F.regexp_extract("_metadata.file_path", r"batch_id=(\d+)", 1))
-    newest = F.col("_batch").cast("bigint").desc()
-    return dedup_latest(log, keys, [newest]).drop("_batch", "batch_id")
+def _replace_days(spark: SparkSession, path: str, now: DataFrame, days: DataFrame) -> None:
+    """Put ``now`` in place of the (user, day) rows named in ``days``, one folder per month."""
+    month = F.date_format("activity_date", "yyyy-MM")
+    gone = days.join(now.select(*DAY), DAY, "left_anti")
+    rows = now.withColumn("_gone", F.lit(False)).unionByName(
+        gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True
+    )
+    rows = rows.withColumn("month", month)
+    rest = lambda current, new: upsert(current, new, DAY)
+    upsert_partitioned(spark, path, rows, DAY, ["month"], merge=rest)
+
+
+def read_daily(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The daily table kept by ``merge_sessions``; ``schema`` is that of ``activity_from_log``."""
+    table = spark.read.schema(StructType([*schema.fields, StructField("_gone", BooleanType())])).parquet(path)
+    return table.filter("not _gone").drop("_gone")
 
 
 def upsert_stream(

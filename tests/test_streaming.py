@@ -3,9 +3,9 @@
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
-from tallymart.operators import campaign
+from tallymart.operators import campaign, features, silver, staging
 from tallymart.plans.lakehouse import Lakehouse
-from tallymart.sources import files
+from tallymart.sources import files, warehouse
 from tallymart.streaming import ingest
 
 
@@ -28,52 +28,52 @@ def write(df, path, checkpoint):
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def test_a_session_in_two_files_is_one_row(spark, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    log(spark, src, ("1", "s", 1, "2024-01-01 10:00:00"), ("2", "t", 1, "2024-01-01 10:05:00"))
-    stream = lambda: ingest.dedup_sessions(files.stream_clickstream(spark, src))
-    write(stream(), out, ck)
-    log(spark, src, ("3", "s", 1, "2024-01-01 10:10:00"))  # arrives with a later run
-    write(stream(), out, ck)
-    assert rows_of(spark.read.parquet(out).select("session_id")) == [("s",), ("t",)]
+def shuffled(spark, tmp_path):
+    """The raw log as eight files in random order, read one file per batch."""
+    raw = Lakehouse(spark, str(DATA)).raw("clickstream")
+    path = str(tmp_path / "raw")
+    raw.repartition(8, F.xxhash64("event_id", F.lit(3))).write.parquet(path)
+    return raw, lambda: spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_daily_totals_update_and_drop_late_rows(spark, tmp_path):
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+def test_merged_sessions_equal_the_batch_whatever_the_order(spark, tmp_path):
+    raw, stream = shuffled(spark, tmp_path)
+    sessions, daily = str(tmp_path / "sessions"), str(tmp_path / "daily")
+    finish(ingest.merge_sessions(stream(), sessions, str(tmp_path / "ck"), buckets=2, daily=daily))
+    staged = staging.stage_clickstream(raw)
+    merged = spark.read.schema(staged.schema).parquet(sessions).drop("bucket")
+    assert rows_of(silver.silver_user_sessions(merged)) == rows_of(silver.silver_user_sessions(staged))
+    batch = features.activity_from_log(silver.latest_sessions(staged))
+    got = ingest.read_daily(spark, daily, batch.schema).drop("month")
+    assert rows_of(got.select(*batch.columns)) == rows_of(batch)
 
-    def run():
-        daily = ingest.daily_events(files.stream_clickstream(spark, src))
-        finish(ingest.write_changes(daily, out, ck))
-        table = ingest.read_changes(spark, out, daily.schema, ["user_id", "activity_date"])
-        return [(r.user_id, str(r.activity_date), r.records)
-                for r in table.orderBy("activity_date").collect()]
-
-    log(spark, src, ("1", "a", 1, "2024-01-01 10:00:00"))
-    assert run() == [(1, "2024-01-01", 1)]
-    log(spark, src, ("2", "b", 1, "2024-01-01 23:00:00"), ("3", "c", 1, "2024-01-05 09:00:00"))
-    assert run() == [(1, "2024-01-01", 2), (1, "2024-01-05", 1)]
-    log(spark, src, ("4", "d", 1, "2024-01-01 11:00:00"))  # four days late
-    assert run() == [(1, "2024-01-01", 2), (1, "2024-01-05", 1)]
 
+def test_a_late_record_corrects_the_session_and_its_days(spark, tmp_path):
+    src, sessions, daily, ck = (str(tmp_path / n) for n in ("src", "sessions", "daily", "ck"))
 
-def test_daily_totals_follow_the_session_time_zone(spark, tmp_path):
-    zone = "spark.sql.session.timeZone"
-    spark.conf.set(zone, "Asia/Ho_Chi_Minh")
-    try:
-        src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-        log(spark, src, ("1", "a", 1, "2024-01-01 01:00:00"), ("2", "b", 1, "2024-01-01 23:00:00"))
-        daily = ingest.daily_events(files.stream_clickstream(spark, src))
-        finish(ingest.write_changes(daily, out, ck))
-        table = ingest.read_changes(spark, out, daily.schema, ["user_id", "activity_date"])
-        assert [(str(r.activity_date), r.records) for r in table.collect()] == [("2024-01-01", 2)]
-    finally:
-        spark.conf.set(zone, "UTC")
+    def run():
+        raw = files.stream_clickstream(spark, src)
+        finish(ingest.merge_sessions(raw, sessions, ck, buckets=2, daily=daily))
+        schema = features.activity_from_log(
+            silver.latest_sessions(staging.stage_clickstream(files.read_clickstream(spark, src)))
+        ).schema
+        rows = ingest.read_daily(spark, daily, schema).orderBy("activity_date").collect()
+        return [(r.user_id, str(r.activity_date), r.sessions) for r in rows]
+
+    log(spark, src, ("1", "a", 1, "2024-01-01 10:00:00"), ("2", "b", 1, "2024-01-05 10:00:00"))
+    assert run() == [(1, "2024-01-01", 1), (1, "2024-01-05", 1)]
+    log(spark, src, ("3", "c", 1, "2024-01-01 11:00:00"))  # four days late
+    assert run() == [(1, "2024-01-01", 2), (1, "2024-01-05", 1)]
+    log(spark, src, ("4", "b", 1, "2024-01-06 10:00:00"))  # a newer record moves its session
+    assert run() == [(1, "2024-01-01", 2), (1, "2024-01-06", 1)]
+    log(spark, src, ("5", "b", 1, "2024-01-02 10:00:00"))  # an older one changes nothing
+    assert run() == [(1, "2024-01-01", 2), (1, "2024-01-06", 1)]
 
 
 def test_landing_is_exactly_once_over_restarts(spark, tmp_path):
     path, ck = str(tmp_path / "landing"), str(tmp_path / "ck")
     for _ in range(2):
-        finish(ingest.land_clickstream(ingest.stream_raw(spark, str(DATA)), path, ck))
+        finish(ingest.land_clickstream(warehouse.stream_raw(spark, str(DATA)), path, ck))
     lake = Lakehouse(spark, str(DATA))
     landed = files.read_clickstream(spark, path)
     assert landed.count() == lake.raw("clickstream").count()
@@ -105,7 +105,7 @@ def test_the_event_table_may_be_a_folder_of_files(spark, tmp_path):
     events = spark.read.parquet(str(DATA / "events.parquet"))
     events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
     out = str(tmp_path / "out")
-    raw = ingest.stream_raw(spark, str(tmp_path)).select("event_id", "session_id")
+    raw = warehouse.stream_raw(spark, str(tmp_path)).select("event_id", "session_id")
     write(raw, out, str(tmp_path / "ck"))
     lake = Lakehouse(spark, str(DATA))
     assert rows_of(spark.read.parquet(out)) == rows_of(
