@@ -1,8 +1,11 @@
 """Secrets in texts: known patterns, and strings that pass a battery of randomness tests.
 
 Candidates are runs of 20 or more characters of the base-64 alphabets that hold a letter
-and a digit. The encoding is the smallest alphabet that holds all characters. A candidate
-is taken for a key if it looks drawn at random from that alphabet and not like prose:
+and a digit; ``=`` is part of a run only as padding at its end, so a key glued to its name
+by ``=`` stands alone. A run that mixes ``_`` or ``-`` with ``+`` or ``/`` fits no alphabet:
+its parts between the ones and its parts between the others are candidates instead. The
+encoding is the smallest alphabet that holds all characters. A candidate is taken for a key
+if it looks drawn at random from that alphabet and not like prose:
 
 * chi-squared uniformity over the alphabet, a runs test (lower and upper half of the
   alphabet) and lag-one serial correlation must not speak against randomness, at level
@@ -33,7 +36,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}+"
 KINDS = ("assign", "access", "hex", "random")  # spans that start together are in this order
 # --- candidates and tests ---
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+MIXED = "[_-].*[+/]|[+/].*[_-]"
+PARTS = ("[A-Za-z0-9+/]{20,}+(?:=+$)?", "[A-Za-z0-9_-]{20,}+(?:=+$)?")
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -191,6 +196,17 @@ def battery(rows: Column) -> Column:
     )
 
 
+def _unmixed(found: Column) -> Column:
+    """The runs of ``found``, and the parts of those that mix both pairs of base-64 signs."""
+
+    def parts(x):
+        moved = lambda y: F.struct((x["start"] + y["start"]).alias("start"), y["value"].alias("value"))
+        both = F.array_union(*[F.transform(matches(x["value"], p), moved) for p in PARTS])
+        return F.when(x["value"].rlike(MIXED), both).otherwise(F.array(F.struct(x["start"].alias("start"), x["value"].alias("value"))))
+
+    return F.flatten(F.transform(found, parts))
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with _base (spans of the base kinds) and _candidates (spans and their tests).
 
@@ -200,7 +216,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     based = docs.withColumn("_base", base_spans(content)).withColumn("_found", matches(content, CANDIDATE))
     apart = lambda start, end: ~F.exists("_base", lambda b: (b["start"] < end) & (start < b["end"]))
     named = F.transform(
-        "_found",
+        _unmixed(F.col("_found")),
         lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value")),
     )
     free = F.filter(named, lambda x: apart(x["start"], x["end"]))
@@ -231,7 +247,10 @@ def discovery_steps(scanned: DataFrame, q: float = Q) -> dict[str, int]:
 
 
 def with_spans(scanned: DataFrame, steps: dict[str, int]) -> DataFrame:
-    """``scanned`` with _spans: base spans and discovered random strings, by start and kind."""
+    """``scanned`` with _spans: base spans and discovered random strings, by start and kind.
+
+    A discovered part inside another discovered part is not given again.
+    """
     if not steps:
         return scanned.withColumn("_spans", F.col("_base"))
     least = F.create_map(*[F.lit(x) for pair in sorted(steps.items()) for x in pair])
@@ -239,8 +258,11 @@ def with_spans(scanned: DataFrame, steps: dict[str, int]) -> DataFrame:
         "_candidates",
         lambda x: (x["fit"] >= FIT) & (_step(x["prose"]) >= F.element_at(least, _stratum(x))),
     )
-    spans = F.transform(good, lambda x: F.struct(x["start"], F.lit(KINDS.index("random")).alias("kind"), x["end"]))
-    return scanned.withColumn("_spans", F.sort_array(F.concat("_base", spans.cast(SPAN))))
+    spans = F.transform(good, lambda x: F.struct(x["start"], F.lit(KINDS.index("random")).alias("kind"), x["end"])).cast(SPAN)
+    rows = scanned.withColumn("_random", spans)
+    within = lambda x, y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (x != y)
+    outer = F.filter("_random", lambda x: ~F.exists("_random", lambda y: within(x, y)))
+    return rows.withColumn("_spans", F.sort_array(F.concat("_base", outer))).drop("_random")
 
 
 def span_text(spans: Column) -> Column:

@@ -125,6 +125,26 @@ def test_random_strings_are_told_from_prose(spark):
     assert len([k for k in found if k < 100]) >= 85 and not [k for k in found if k >= 100]
 
 
+def test_random_strings_glued_to_names_are_found(spark):
+    draw = random.Random(4)
+    key = lambda n, kind="base64": "".join(draw.choice(secrets.ALPHABETS[kind]) for _ in range(n))
+    forms = ["DB_KEY={}", "https://a.b/c?id=7&sig={}&x=1", "AccountName=ab;AccountKey={}==;E=x", "A_NAME_LONGER_THAN_TWENTY_1={}", "pk_live_{}"]
+    texts = [(form.format("{}"), key(60) + "+/") for form in forms for _ in range(40)]
+    texts += [("see shop/v1/{}", "_-" + key(60, "base64url")) for _ in range(40)]
+    whole = [(k, form.format(value)) for k, (form, value) in enumerate(texts)]
+    frame = spark.createDataFrame(whole, "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.secret_table(frame).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact(frame).collect()}
+    for first in range(0, len(texts), 40):
+        full = 0
+        for k in range(first, first + 40):
+            begin = whole[k][1].index(texts[k][1])
+            spans = [tuple(map(int, x.split(":")[1:])) for x in got[k].spans.split(",") if x.startswith("random")]
+            assert all(a >= begin or "_live_" in whole[k][1] for a, _ in spans) and len(spans) == got[k].n_random
+            full += any(a <= begin and begin + len(texts[k][1]) <= b for a, b in spans) and texts[k][1] not in clean[k]
+        assert full >= 34, (texts[first][0], full)
+
+
 def test_mixture_follows_its_targets(spark, docs):
     out = mixing.mixture_table(docs).collect()
     assert len(out) == docs.count() and all(r.taken <= 2 * r.size for r in out)
