@@ -8,6 +8,9 @@ with a penalty per change of language labels the words, so mixed texts fall into
 Trigrams are hashed into ``BUCKETS`` per language: the model has a fixed size for a
 number of languages. It is fitted on a bounded sample of the labelled rows, about
 ``SAMPLE`` documents per language chosen by a hash of doc_id.
+
+A word is what white space leaves between, without all that is no letter. Of scripts that
+put no spaces, or of any longer run, pieces of ``WORD_LIMIT`` letters count as the words.
 """
 
 from __future__ import annotations
@@ -48,6 +51,14 @@ def letters_of(token: str) -> str:
     return token.lower() if token.isalpha() else "".join(c for c in token.lower() if c.isalpha())
 
 
+def words_of(token: str) -> list[str]:
+    """The token's letters in pieces of ``WORD_LIMIT`` at most; none without letters."""
+    word = letters_of(token)
+    if len(word) <= WORD_LIMIT:
+        return [word] if word else []
+    return [word[k : k + WORD_LIMIT] for k in range(0, len(word), WORD_LIMIT)]
+
+
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigram buckets of all words in a row, where each word's begin, and script counts."""
     text = "".join(f" {w} " for w in words)
@@ -75,13 +86,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             total = counts.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-            tokens = text.split()
-            for at in range(0, len(tokens), 50_000):
-                words = [w for w in map(letters_of, tokens[at : at + 50_000]) if 0 < len(w) <= WORD_LIMIT]
-                if words:
-                    key, _, scripts = features(words)
-                    total[:BUCKETS] += np.bincount(key, minlength=BUCKETS)
-                    total[BUCKETS:] += scripts.sum(axis=0)
+            words = [w for token in text.split() for w in words_of(token)]
+            for at in range(0, len(words), 50_000):
+                key, _, scripts = features(words[at : at + 50_000])
+                total[:BUCKETS] += np.bincount(key, minlength=BUCKETS)
+                total[BUCKETS:] += scripts.sum(axis=0)
     for lang, total in counts.items():
         at = np.flatnonzero(total)
         names = pa.array([lang] * len(at), pa.string())
@@ -129,31 +138,34 @@ def word_scores(words: list[str], model: Model) -> np.ndarray:
 
 
 class Scorer:
-    """Scores of tokens, remembered up to a bound."""
+    """Scores of tokens' words, remembered up to a bound."""
 
     def __init__(self, model: Model, remember: int = 200_000):
         self.model, self.remember = model, remember
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # -1 without letters, -2 if ``long`` has its pieces
+        self.long: dict[str, range] = {}
         self.table = np.zeros((0, len(model.languages)), np.float32)
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores of all tokens with letters, the first of each text (and one more), and letters."""
-        if len(self.known) > self.remember:
-            self.known, self.table = {}, self.table[:0]
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words of all tokens, and the first of each text (and one more)."""
+        if max(len(self.known), len(self.table)) > self.remember:
+            self.known, self.long, self.table = {}, {}, self.table[:0]
         known, fresh, ids, of = self.known, [], [], [0]
         for text in texts:
             for token in (text or "").split():
                 at = known.get(token)
                 if at is None:
-                    word = letters_of(token)
-                    if word:
-                        at = len(self.table) + len(fresh)
-                        fresh.append(word)
-                    else:
-                        at = -1
+                    pieces = words_of(token)
+                    at = len(self.table) + len(fresh) if pieces else -1
+                    fresh += pieces
+                    if len(pieces) > 1:
+                        self.long[token] = range(at, at + len(pieces))
+                        at = -2
                     known[token] = at
                 if at >= 0:
                     ids.append(at)
+                elif at == -2:
+                    ids += self.long[token]
             of.append(len(ids))
         if fresh:
             self.table = np.concatenate([self.table, word_scores(fresh, self.model)])
@@ -195,7 +207,7 @@ def viterbi(score: np.ndarray, of: np.ndarray, switch: float = SWITCH) -> np.nda
 def label(texts: list[str | None], scorer: Scorer) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
     """(language, score, spans) of every text.
 
-    Spans (language, first, end) number the words that have letters. The language is the
+    Spans (language, first, end) number the words. The language is the
     one that labels most words, the first in order among equals, and the score its share;
     without letters it is ``und`` with score 0.
     """

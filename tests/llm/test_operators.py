@@ -174,6 +174,21 @@ def test_mixed_text_falls_into_spans(spark):
     assert [s[0] for s in spans][:2] == ["en", "de"] and abs(spans[0][2] - 60) <= 8
 
 
+def test_unspaced_languages_are_learned(spark):
+    draw = random.Random(6)
+    signs = {"zh": [chr(0x4E00 + k) for k in range(0, 300, 3)], "zz": [chr(0x4E00 + k) for k in range(1, 300, 3)], "th": [chr(0x0E01 + k) for k in range(40)]}
+    said = {x: ["".join(draw.choice(of) for _ in range(11)) for _ in range(20)] for x, of in signs.items()}
+    line = lambda x: "。".join(draw.choice(said[x]) for _ in range(12))
+    texts = [(k, line(x), x) for k, x in enumerate([*signs] * 30)]
+    assert all(len(language.letters_of(t)) == 132 and len(t.split()) == 1 for _, t, _ in texts)
+    out = language.language_table(spark.createDataFrame(texts, "doc_id long, text string, lang string")).filter("held_out").collect()
+    assert out and all(r.lang_pred == texts[r.doc_id][2] and r.score == 1 for r in out)
+    assert all(r.spans == f'[["{r.lang_pred}", 0, 3]]' for r in out)  # pieces of 64, 64 and 4 letters
+    model = language.fit(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    found = language.label([texts[0][1] + " " + texts[2][1], None, texts[0][1]] * 2, language.Scorer(model))
+    assert [x[2] for x in found] == [[("zh", 0, 3), ("th", 3, 6)], [], [("zh", 0, 3)]] * 2
+
+
 def test_viterbi_equals_trying_all_paths():
     draw = np.random.default_rng(1)
     score, of = draw.normal(size=(9, 3)).astype(np.float32) * 2, np.array([0, 4, 4, 9])
