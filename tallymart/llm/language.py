@@ -183,16 +183,17 @@ def viterbi(score: np.ndarray, of: np.ndarray, switch: float = SWITCH) -> np.nda
     steps, languages = (int(length[0]) if len(length) else 0), score.shape[1]
     running = np.searchsorted(-length, -np.arange(steps), "left")  # texts with more than t words
     best = np.zeros((len(order), languages), np.float32)
-    came = np.zeros(score.shape, np.int8)  # language before, by word and language
+    kind = np.min_scalar_type(languages)  # holds every language's number
+    came = np.zeros(score.shape, kind)  # language before, by word and language
     at = np.zeros(len(order), np.int64)
-    same = np.arange(languages, dtype=np.int8)
+    same = np.arange(languages, dtype=kind)
     for t in range(steps):
         n = running[t]
         now = best[:n]
         top = now.argmax(axis=1)
         jump = now[np.arange(n), top] - switch
         stay = now >= jump[:, None]
-        came[first[:n] + t] = np.where(stay, same, top[:, None].astype(np.int8))
+        came[first[:n] + t] = np.where(stay, same, top[:, None].astype(kind))
         best[:n] = np.where(stay, now, jump[:, None]) + score[first[:n] + t]
     out = np.zeros(len(score), np.int64)
     state = best.argmax(axis=1)

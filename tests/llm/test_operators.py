@@ -199,6 +199,18 @@ def test_viterbi_equals_trying_all_paths():
         assert math.isclose(value(got[a:b], score[a:b]), best, abs_tol=1e-4)
 
 
+def test_viterbi_takes_many_languages():
+    for languages in (130, 200, 300):
+        score = np.zeros((9, languages), np.float32)
+        score[:5, languages - 1] = score[5:, languages - 2] = 9
+        assert language.viterbi(score, np.array([0, 9])).tolist() == [languages - 1] * 5 + [languages - 2] * 4
+    names = [f"l{k:03}" for k in range(200)]
+    scores = np.zeros((language.BUCKETS, 200), np.float32)
+    scores[:, 150] = 1
+    model = language.Model(names, scores, np.ones((len(language.SCRIPTS), 200), bool))
+    assert language.label(["one two three"], language.Scorer(model)) == [("l150", 1.0, [("l150", 0, 3)])]
+
+
 def test_benchmark_passages_are_found(spark, docs):
     frame, items = (spark.read.parquet(str(DATA / f"{n}.parquet")) for n in ("documents", "benchmark"))
     planted = [(r.item_id, r.text) for r in items.collect()]
