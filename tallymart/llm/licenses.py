@@ -4,16 +4,21 @@ A text is normalised (case, copyright lines, punctuation and white space, equiva
 spellings) and hashed as a whole; digests are joined with those of known licences. A
 document's lines are texts of their own as well, so a one-line notice inside a document is
 found, but only if it is the entire line. Column expressions throughout.
+
+The known licences are a parameter: by default the notices and short texts of ``KNOWN``
+and the full texts in ``license_texts/``, each in the forms it is commonly given in.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lookup, stored
 
 # --- fixed values: spellings taken as equal, notices and licence texts ---
 SPELLINGS = {
@@ -61,6 +66,10 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
 ]
+TEXTS = Path(__file__).resolve().parent / "license_texts"
+#: Names of the BSD texts as their titles give them.
+BSD_TITLES = {"BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+              "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD License"]}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -79,18 +88,44 @@ def digest(text: Column) -> Column:
     return F.sha2(F.trim(canonical(text)), 256)
 
 
-def known_licenses(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, license): a row per digest; the list is a parameter of a dozen texts."""
-    rows = spark.createDataFrame(known, "license string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+def forms(name: str, text: str) -> set[str]:
+    """A text with and without its appendix, its item numbers (BSD), title and reservation of rights."""
+    found = {text}
+    end = re.search(r"END OF TERMS AND CONDITIONS", text)
+    if end:
+        found |= {text[: end.end()], text[: end.start()]}
+    if name.startswith("BSD-"):
+        body = text[text.index("Redistribution and use") :]
+        found = {body, re.sub(r"(?m)^\s*\d\. ", "", body)}
+        found |= {f"All rights reserved.\n{x}" for x in found}
+        found |= {f"{title}\n{x}" for title in BSD_TITLES.get(name[:12], []) for x in found}
+    return {x.replace(*scheme) for x in found for scheme in (("http://", "https://"), ("https://", "http://"), ("", ""))}
+
+
+def full_texts(folder: Path = TEXTS) -> list[tuple[str, str]]:
+    """(license, text) of every form of the folder's texts, and their SPDX lines."""
+    found = []
+    for path in sorted(folder.glob("*.txt")):
+        name = path.stem.removesuffix("-UC")
+        found += [(name, x) for x in sorted(forms(path.stem, path.read_text("utf-8")))]
+    ends = lambda name: ("", "-only", "-or-later") if re.match("A?L?GPL|GFDL", name) else ("",)
+    names = sorted({name for name, _ in [*KNOWN, *found]})
+    return found + [(name, f"SPDX-License-Identifier: {name}{end}") for name in names for end in ends(name)]
+
+
+def known_licenses(spark: SparkSession, known: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """(digest, license), stored: a row per digest of the table (license, text)."""
+    rows = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license string, text string")
+    return stored(rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license")), "licenses")
 
 
-def license_table(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def license_table(docs: DataFrame, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """doc_id, text_digest, license, line_licenses, n_license_lines: one row per row of ``docs``.
 
     license is that of the entire text, else null; line_licenses names those of entire lines,
     sorted and comma-joined (empty without any). A null text counts as empty, and an empty
     one matches nothing. Repeated rows give repeated results; other columns are not read.
+    ``known`` is a table or list of (license, text) to look for in place of the default.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.trim(x)) > 0)
@@ -101,14 +136,14 @@ def license_table(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> Data
         F.transform(lines, lambda x: F.unhex(digest(x))).alias("_lines"),
     )
     rows = stored(rows, "digests")
-    names = F.broadcast(known_licenses(docs.sparkSession, known))  # as many rows as the list has
+    names = known_licenses(docs.sparkSession, [*KNOWN, *full_texts()] if known is None else known)
     each = rows.select("_row", F.explode("_lines").alias("line"))
-    found = each.join(names.select(F.unhex("digest").alias("line"), "license"), "line")
+    found = lookup(each, names.select(F.unhex("digest").alias("line"), "license"), "line", "inner")
     of_lines = found.groupBy("_row").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("line_licenses"),  # at most the list's names
         F.count(F.lit(1)).alias("n_license_lines"),
     )
-    whole = rows.drop("_lines").join(names.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    whole = lookup(rows.drop("_lines"), names.withColumnRenamed("digest", "text_digest"), "text_digest")
     return whole.join(of_lines, "_row", "left").select(
         "doc_id", "text_digest", "license",
         F.coalesce("line_licenses", F.lit("")).alias("line_licenses"),

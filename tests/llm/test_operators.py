@@ -292,6 +292,21 @@ def test_license_notices_in_other_dress(spark, docs):
     assert licenses.license_table(docs).count() == docs.count() and licenses.license_table(empty(spark)).count() == 0
 
 
+def test_full_licence_texts_are_known(spark):
+    common = Path("/usr/share/common-licenses")
+    texts = [(x.stem, x.read_text()) for x in sorted(licenses.TEXTS.glob("*.txt"))]
+    texts += [(x, (common / y).read_text()) for x, y in (("Apache-2.0", "Apache-2.0"), ("GPL-3.0", "GPL-3"), ("MPL-2.0", "MPL-2.0")) if (common / y).exists()]
+    body = dict(texts)["BSD-3-Clause"].partition("\n")[2].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    texts += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2021, A. B.\nAll rights reserved.\n" + body)]
+    texts += [("GPL-2.0", dict(texts)["GPL-2.0"].partition("END OF TERMS")[0]), ("MPL-2.0", "// SPDX-License-Identifier: MPL-2.0")]
+    assert len(texts) >= 20
+    frame = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.license_table(frame).collect()}
+    assert [got[k] for k in range(len(texts))] == [x.removesuffix("-UC") for x, _ in texts]
+    own = spark.createDataFrame([("mine", texts[-1][1])], "license string, text string")
+    assert [r.doc_id for r in licenses.license_table(frame, own).filter("license = 'mine'").collect()] == [len(texts) - 1]
+
+
 def test_language_model_scores(spark, docs):
     out = lm.score_table(docs).collect()
     counts, texts = collections.Counter(), {}
