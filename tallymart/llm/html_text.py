@@ -1,9 +1,11 @@
 """Visible text of HTML pages, laid out as a reader sees it.
 
 A page becomes a tree (implied end tags, void and raw-text elements), invisible parts are
-marked (scripts, styles, head, templates, comments, ``hidden``, ``display:none``), and the
+marked (scripts, styles, head, templates, comments, an attribute named ``hidden``, and the
+style attribute's ``display:none`` and ``visibility:hidden``), and the
 rest is written as text: paragraphs and headings with a blank line around, other blocks on
-lines of their own, list items with markers and indentation, table cells in columns. All
+lines of their own, list items with markers and indentation, table cells in columns,
+formulas in a line, the text elements of drawings and the shown options of selections. All
 visible text is kept, navigation included. Walking uses stacks, so nesting may be deep.
 """
 
@@ -21,17 +23,27 @@ from .common import arrow_batches
 # --- fixed values: element names of the HTML standard by their role ---
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("head script style template noscript iframe noembed noframes datalist title object svg math select audio video canvas".split())
+UNSEEN = set("head script style template noscript iframe noembed noframes datalist title object audio video canvas".split())
+SVG_UNSEEN = set("defs symbol desc metadata clippath mask pattern marker lineargradient radialgradient".split())
+MATH_UNSEEN = set("annotation annotation-xml mphantom".split())
+#: Signs between the parts of a formula that are not written one after the other.
+MATH_SIGNS = {"mfrac": "/", "msup": "^", "mover": "^", "msub": "_", "munder": "_", "msubsup": "_^", "munderover": "_^"}
+#: Opening tags that end a drawing or formula, outside of the elements that may hold them.
+BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+FOREIGN_HOLDS = "foreignobject desc title mi mo mn ms mtext annotation-xml".split()
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCK = SPACED | set(
     "html body div section article aside header footer nav main address details summary dialog form figcaption "
     "li dt dd tr caption legend center search menu td th thead tbody tfoot hgroup".split()
 )
 #: An opening tag ends these open elements, up to the nearest of the elements that hold them.
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "td": {"td", "th"}, "th": {"td", "th"},
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, "td": {"td", "th"}, "th": {"td", "th"},
         "tr": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th", "tbody"},
         "tfoot": {"tr", "td", "th", "tbody"}, "body": {"head"}}
-HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "body": {"html"}}
+HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}, "optgroup": {"select"}, "body": {"html"}}
 HELD_BY_TABLE = {"table"}
 SCOPE = set("td th caption table button object li dd".split())  # an open p is looked for up to these
 TOKEN = re.compile(
@@ -39,21 +51,54 @@ TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<|[^<]+",
     re.S,
 )
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-START = re.compile(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", re.I)
+ATTRIBUTE = re.compile(r"([^\s/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']\S*)))?")
+DECLARATION = re.compile(r"""(?:[^;"'(]|"[^"]*"|'[^']*'|\([^)]*\)|["'(])+""")
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+START = re.compile(r"\s*(-?\d{1,9})")
 SPACE = re.compile(r"[ \t\r\n\f]+")
 #: Cells wider than this are not padded, and tables nested deeper are written as blocks.
 WIDEST, DEEPEST = 40, 8
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """Values of a tag's attributes by lower-case name, the first of a name; references resolved."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), unescape("".join(values)))
+    return found
+
+
+def declared(style: str) -> dict[str, str]:
+    """The style's display and visibility in lower case; the last counts, important ones first."""
+    low, found, fixed = style.lower(), {}, set()
+    if "display" in low or "visibility" in low:
+        for one in DECLARATION.findall(CSS_COMMENT.sub("", low)):
+            name, _, value = (x.strip() for x in one.partition(":"))
+            value, important, _ = (x.strip() for x in value.partition("!"))
+            if name in ("display", "visibility") and value and (important or name not in fixed):
+                found[name] = value
+                fixed |= {name} if important else set()
+    return found
+
+
 class Node:
-    __slots__ = ("tag", "first", "children", "unseen")
+    """An element. ``unseen`` hides it with all it holds, ``veiled`` its text until made visible."""
+
+    __slots__ = ("tag", "attributes", "children", "unseen", "veiled")
 
-    def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.children = tag, []
-        found = START.search(attributes) if tag == "ol" else None
-        self.first = int(found[1]) if found else 1
-        self.unseen = tag in UNSEEN or (bool(attributes) and HIDDEN.search(attributes) is not None)
+    def __init__(self, tag: str, attributes: str = "", veiled: bool = False, drawn: bool = False):
+        self.tag, self.children, self.veiled = tag, [], veiled
+        self.attributes = attributes_of(attributes) if attributes and not attributes.isspace() else {}
+        self.unseen = tag in UNSEEN or tag in MATH_UNSEEN or "hidden" in self.attributes
+        if drawn:
+            self.unseen = self.unseen or tag in SVG_UNSEEN
+        if "style" in self.attributes or drawn:
+            given = {k: self.attributes[k].strip().lower() for k in ("display", "visibility") if drawn and k in self.attributes}
+            given |= declared(self.attributes.get("style", ""))
+            self.unseen = self.unseen or given.get("display") == "none"
+            if given.get("visibility") in ("hidden", "collapse", "visible"):
+                self.veiled = given["visibility"] != "visible"
+        self.unseen = self.unseen or (self.veiled and tag in VOID)
 
 
 def tree(html: str) -> Node:
@@ -81,11 +126,16 @@ def tree(html: str) -> Node:
         if cut:
             close(cut)
 
+    def within(tags) -> bool:
+        return any(names.get(x) for x in tags)
+
     for token in TOKEN.finditer(html):
         if token.start() < skip_to:
             continue
         name = token[2]
         if name is None:
+            if stack[-1].veiled or (names.get("svg") and not within(("text", "foreignobject"))):
+                continue  # not drawn
             text = token[0]
             if text.startswith("<![CDATA["):
                 stack[-1].children.append(text[9:].removesuffix("]]>"))
@@ -101,20 +151,25 @@ def tree(html: str) -> Node:
             elif names.get(name):
                 end({name}, {"table"} if name not in ("table", "html", "body") else set())
             continue
+        foreign = (names.get("svg") or names.get("math")) and not within(FOREIGN_HOLDS)
+        if foreign and name in BREAKOUT:
+            close(next(k for k, x in enumerate(stack) if x.tag in ("svg", "math")))
+            foreign = False
         if name in BLOCK and names.get("p"):
             end({"p"}, SCOPE)
         if name in ENDS:
             end(ENDS[name], HOLDS.get(name, HELD_BY_TABLE))
-        node = Node(name, token[3])
+        node = Node(name, token[3], stack[-1].veiled, name == "svg" or bool(names.get("svg")))
         stack[-1].children.append(node)
-        if name in VOID or (token[3] and token[3].endswith("/") and name in ("svg", "path", "use")):
+        if name in VOID or (token[3] and token[3].endswith("/") and (foreign or name in ("svg", "math", "path", "use"))):
             continue
         if name in RAW:
             finish = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, token.end())
             body = html[token.end() : finish.start() if finish else len(html)]
             if name in ("textarea", "title"):
                 body = unescape(body)
-            node.children.append(body)
+            if not node.veiled:
+                node.children.append(body)
             skip_to = finish.end() if finish else len(html)
             continue
         stack.append(node)
@@ -223,6 +278,42 @@ def table_parts(table: Node) -> tuple[list[Node], list[list[Node]]]:
     return other, rows
 
 
+def formula(node: Node) -> list[Node | str]:
+    """The parts of a formula's element with the signs that its layout stands for."""
+    parts: list = [x for x in node.children if not isinstance(x, str) and not x.unseen]
+    out = ["√"] if node.tag == "msqrt" else []
+    signs = MATH_SIGNS.get(node.tag, "")
+    group = len(parts) > 1 if node.tag == "msqrt" else False
+    out += ["("] if group else []
+    for k, x in enumerate(parts):
+        out += [signs[min(k, len(signs)) - 1]] if k and signs else []
+        wide = signs and x.tag in ("mrow", *MATH_SIGNS) and len(x.children) > 1
+        out += ["(", x, ")"] if wide else [x]
+    return out + ([")"] if group else [])
+
+
+def shown_options(select: Node) -> list[Node | str]:
+    """The options a reader sees: all of a list, else the selected one or the first that can be."""
+    several = "multiple" in select.attributes or re.match(r"\s*0*([2-9]|1\d)", select.attributes.get("size", ""))
+    found, stack = [], [(x, False) for x in reversed(select.children)]
+    while stack:
+        node, off = stack.pop()
+        if isinstance(node, str) or node.unseen:
+            continue
+        off = off or "disabled" in node.attributes
+        if node.tag == "option":
+            found.append((node, off))
+            continue
+        if node.tag == "optgroup" and several and not node.veiled:
+            found.append((node.attributes.get("label", ""), off))
+        stack += [(x, off) for x in reversed(node.children)]
+    if not several:
+        chosen = [x for x in found if "selected" in x[0].attributes][-1:]
+        found = chosen or [x for x in found if not x[1]][:1]
+    label = lambda x: x if isinstance(x, str) or not x.attributes.get("label") or x.veiled else x.attributes["label"]
+    return [y for x, _ in found for y in (" ", label(x), " ")]
+
+
 def write(top: Node, depth: int = 0) -> list[str]:
     """The visible lines of an element."""
     page = Page()
@@ -237,6 +328,8 @@ def write(top: Node, depth: int = 0) -> list[str]:
                 page.block(tag in SPACED and not (tag in ("ul", "ol") and counters[:-1]))
             if tag == "pre":
                 keep -= 1
+            if tag == "text":
+                page.open_space = True
             if tag in ("ul", "ol", "menu"):
                 counters.pop()
             if more:
@@ -266,10 +359,11 @@ def write(top: Node, depth: int = 0) -> list[str]:
             page.word("---")
             page.block(True)
             continue
-        if tag in ("td", "th"):
+        if tag in ("td", "th", "text"):
             page.open_space = True
         if tag in ("ul", "ol", "menu"):
-            counters.append(node.first if tag == "ol" else None)
+            start = START.match(node.attributes.get("start", "")) if tag == "ol" else None
+            counters.append((int(start[1]) if start else 1) if tag == "ol" else None)
         elif tag == "li":
             number = counters[-1] if counters else None
             marker = "- " if number is None else f"{number}. "
@@ -284,7 +378,12 @@ def write(top: Node, depth: int = 0) -> list[str]:
         elif tag == "pre":
             keep += 1
         todo.append(("close", node) if before is None else ("close", node, before))
-        todo += [("open", child) for child in reversed(node.children)]
+        inner = node.children
+        if tag in MATH_SIGNS or tag == "msqrt":
+            inner = [] if node.veiled else formula(node)
+        elif tag == "select":
+            inner = shown_options(node)
+        todo += [("open", child) for child in reversed(inner)]
     page.line()
     while page.lines and not page.lines[-1]:
         page.lines.pop()

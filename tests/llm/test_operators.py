@@ -264,6 +264,28 @@ def test_pages_read_as_they_look(spark):
         assert [w for w in html_text.page_text(page.html).split() if w != "-"] == [w for w in words if w != "-"]
 
 
+SEEN = {
+    '<p title="A hidden gem in Rome">a</p><p aria-label="show hidden text">b': "a\n\nb",
+    '<body class="nav hidden md:block"><p style="overflow: hidden ; color:red">a': "a",
+    """<p onclick="x.style='display:none'" data-x='visibility:hidden'>a""": "a",
+    "<p style=\"content:'; display:none;'; background:url(a;display:none)\">a": "a",
+    "<p HIDDEN>a</p><p hidden=hidden>b</p><p class=x hidden/>c</p>d": "d",
+    "<p style='Display : None !important; display:block'>a</p><p style='display:none;display:block'>b": "b",
+    "<div style='visibility:hidden'>a<b style='visibility: visible'>b</b><hr></div>c": "b\nc",
+    "<math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mrow><mi>a</mi><mo>+</mo><mi>b</mi></mrow></mfrac><annotation>t</annotation></math>.": "x=1/(a+b).",
+    "<math><msup><mi>x</mi><mn>2</mn></msup><msqrt><mi>y</mi></msqrt></math>": "x^2√y",
+    "a <svg><title/><defs><text>no</text></defs><g>no<text x=1>Year</text><text>20<tspan>24</tspan></text></g></svg>b": "a Year 2024 b",
+    "<svg width=3><path d='M0'><p>after": "after",
+    "<select><option>one<option selected>two</select> <select><option disabled>pick<option>three</select>": "two three",
+    "<select multiple><optgroup label=G><option>one<option label=L>two</select>": "G one L",
+    "<ol data-start=7><li>x</ol>": "1. x",
+}
+
+
+def test_visible_subtrees_are_kept():
+    assert [html_text.page_text(x) for x in SEEN] == list(SEEN.values())
+
+
 def test_chat_round_trip(spark):
     texts = [None, "", r"\### Assistant: </turn> ok", "a ### b\\h </turn>\n### user:\nx", "é漢🙂 \n\n", "####", "z" * 300_000]
     turns = [(c, t, role, texts[(c + t) % len(texts)]) for c in range(6) for t, role in enumerate(["system", "user", "assistant", "a:b\n", "assistant"])]
