@@ -230,6 +230,25 @@ def test_benchmark_passages_are_found(spark, docs):
     assert decontaminate.leaks(docs, nothing).count() == 0
 
 
+def test_parts_of_long_items_are_found(spark):
+    frame = spark.read.parquet(str(DATA / "documents.parquet")).select("doc_id", "text")
+    hosts = [r.text.split() for r in frame.orderBy("doc_id").collect() if len((r.text or "").split()) > 60][:120]
+    draw = random.Random(9)
+    words = sorted({w for h in hosts for w in h})
+    items = [(k, [draw.choice(words) for _ in range(500 if k % 3 == 2 else 59)]) for k in range(40)]
+    cuts = {10_000: lambda t: t[3:43], 20_000: lambda t: t[-28:], 30_000: lambda t: t[20:320]}
+    planted = [(base + k, k, cut(t)) for base, cut in cuts.items() for k, t in items if len(t) == 500 or base < 30_000]
+    more = [(d, " ".join(hosts[n % 120][:30] + part + hosts[n % 120][30:])) for n, (d, _, part) in enumerate(planted)]
+    whole = frame.union(spark.createDataFrame(more, "doc_id long, text string"))
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(whole, benchmark).collect()}
+    for base in cuts:
+        own = [(d, k) for d, k, _ in planted if base <= d < base + 10_000]
+        print(base, len(found & set(own)), len(own))
+        assert len(found & set(own)) >= 0.9 * len(own), base
+    assert found <= {(d, k) for d, k, _ in planted}
+
+
 def test_common_subsequence():
     draw = random.Random(2)
     for _ in range(50):
