@@ -5,8 +5,9 @@ rule fails texts that are very short or repeat themselves. Further rules compare
 with a cutoff. A cutoff may reject clean documents only rarely, and that is shown, not
 assumed: on the labelled clean documents of a stratum (language), the exact binomial test
 must reject "the false rejection rate is ``RISK`` / number of rules or more" at level
-``ERROR`` divided by all tests made (strata x rules x cutoffs, Bonferroni). The strictest
-cutoff that passes is used; where none does, the rule is off. So with probability
+``ERROR`` divided by strata x rules (Bonferroni). A rule's cutoffs are tested in a fixed
+order, strictest last, up to the first that fails, so their number needs no correction. The
+strictest cutoff that passes is used; where none does, the rule is off. So with probability
 1 - ``ERROR`` the rules together reject at most a share ``RISK`` of the clean documents of
 every stratum. Strata without enough labels keep everything but the base rule's failures.
 """
@@ -123,18 +124,17 @@ def binomial_at_most(k: int, n: int, p: float) -> float:
 
 
 def certified(counts: pd.DataFrame, risk: float, level: float) -> pd.DataFrame:
-    """Per stratum row (lang, n, rejected counts by rule and cutoff): the cutoffs that pass."""
+    """Per stratum row (lang, n, rejected counts by rule and cutoff): the strictest cutoff reached."""
     rows = []
     for row in counts.itertuples(index=False):
         chosen = {"lang": row.lang, "clean": row.n}
         for rule, (_, cutoffs) in RULES.items():
-            passing = [
-                cut
-                for k, cut in enumerate(cutoffs)
-                if getattr(row, f"{rule}_{k}") <= risk * row.n
-                and binomial_at_most(int(getattr(row, f"{rule}_{k}")), int(row.n), risk) <= level
-            ]
-            chosen[rule] = min(passing) if passing else None
+            chosen[rule] = None
+            for k in reversed(range(len(cutoffs))):
+                rejected = int(getattr(row, f"{rule}_{k}"))
+                if rejected > risk * row.n or binomial_at_most(rejected, int(row.n), risk) > level:
+                    break
+                chosen[rule] = cutoffs[k]
         rows.append(chosen)
     return pd.DataFrame(rows, columns=["lang", "clean", *RULES]).astype(dict.fromkeys(RULES, float))
 
@@ -154,7 +154,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, error: fl
         for k, cut in enumerate(cuts)
     ]
     per_stratum = stored(held.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), *rejected), "holdout")
-    tests = max(per_stratum.count(), 1) * sum(len(cuts) for _, cuts in RULES.values())
+    tests = max(per_stratum.count(), 1) * len(RULES)
     share, level = risk / len(RULES), error / tests
     kind = per_stratum.schema["lang"].dataType.simpleString()
     schema = f"lang {kind}, clean bigint, " + ", ".join(f"{r} double" for r in RULES)

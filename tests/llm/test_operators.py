@@ -412,6 +412,19 @@ def test_quality_counts_and_certified_cutoffs(spark, docs):
         assert math.isclose(quality.binomial_at_most(k, n, p), exact)
 
 
+def test_cutoffs_are_tested_in_a_fixed_order(spark):
+    n, cuts = 1700, len(quality.RULES["short"][1])
+    clean = [(k, "en", 100 if k else 28, 400, 0, 1, 0, 0, False) for k in range(n)]
+    names = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"))
+    counted = spark.createDataFrame(clean, names + ", base_failed boolean")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(n)], "doc_id long, quality int, toxic int")
+    got = quality.cutoffs(counted, labels).first()
+    # one rejection may pass from 1,657 documents on; with a correction for all cutoffs, from 2,243 on
+    assert got.clean == n and got.short == quality.RULES["short"][1][0] and got.symbols == quality.RULES["symbols"][1][0]
+    row = {"lang": "en", "n": n} | {f"{r}_{k}": 0 for r in quality.RULES for k in range(cuts)} | {"short_5": 90}
+    assert quality.certified(quality.pd.DataFrame([row]), 0.004, 0.01)["short"][0] == quality.RULES["short"][1][6]
+
+
 def test_pipeline_stages_take_awkward_documents(spark, docs, tmp_path):
     spark.read.parquet(str(DATA / "benchmark.parquet")).write.parquet(str(tmp_path / "benchmark.parquet"))
     for frame in (docs, empty(spark)):
