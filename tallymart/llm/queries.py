@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, language, licenses, lm, mixing, near_dedup, quality, secrets, sql
+from . import chat, decontaminate, html_text, language, licenses, lm, mixing, near_dedup, quality, secrets, sql, token_codes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": lambda spark, d: quality.quality_table(
         table(spark, d, "documents"), table(spark, d, "labels")
     ),
+    "op11_token_codes": lambda spark, d: token_codes.code_table(
+        table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {
