@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_text, language, licenses, lm, merkle, mixing, near_dedup, quality, secrets, sql, token_codes
+from . import (
+    chat, decontaminate, html_text, language, licenses, lm, merkle, mixing, near_dedup, quality, secrets, sql,
+    token_codes, vector_codes,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),
     "op12_merkle_manifest": lambda spark, d: merkle.manifest_table(table(spark, d, "documents")),
+    "op13_vector_codes": lambda spark, d: vector_codes.code_table(table(spark, d, "embeddings")),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +42,5 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "op6_near_dedup": sql.NEAR_DEDUP,
     "op12_merkle_manifest": sql.MERKLE,
+    "op13_vector_codes": sql.vector_code_sql(),
 }

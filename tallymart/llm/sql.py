@@ -127,3 +127,43 @@ climb AS (
 SELECT p.doc_id, p.leaf, h.subroot, t.d AS root, sha256(c.proof) AS proof_sha256, c.d AS folded_root, c.d = t.d AS verified
 FROM rows p JOIN climb c USING (r) JOIN heads h USING (tree) CROSS JOIN top t WHERE c.n = 1 AND t.n = 1
 """
+
+
+def vector_code_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Rounds written out one after the other; distances are summed component by component."""
+    size = "(SELECT CAST(len(x) AS BIGINT) FROM kept ORDER BY vec_id LIMIT 1)"
+    out = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+cut AS MATERIALIZED (
+  SELECT vec_id, p, list_slice(x, CAST(p * {size} // {parts} + 1 AS BIGINT), CAST((p + 1) * {size} // {parts} AS BIGINT)) AS x
+  FROM kept, range({parts}) r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM cut WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"""
+    for k in range(rounds + 1):
+        out += f""",
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, min(e) FILTER (d = least) AS e, any_value(least) AS d FROM (
+    SELECT vec_id, p, e, d, min(d) OVER (PARTITION BY vec_id, p) AS least FROM (
+      SELECT vec_id, t.p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+      FROM cut t JOIN book{k} b ON t.p = b.p))
+  GROUP BY vec_id, p)"""
+        if k < rounds:
+            out += f""",
+mean{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, CAST(floor(sum(v) / count(*)) AS BIGINT) AS m
+    FROM (SELECT p, e, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM near{k} JOIN cut USING (vec_id, p))
+    GROUP BY p, e, i) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (p, e))"""
+    return out + f"""
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN (
+  SELECT vec_id, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d) AS error
+  FROM near{rounds} GROUP BY vec_id) USING (vec_id)
+"""
