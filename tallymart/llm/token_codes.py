@@ -14,9 +14,8 @@ A file (little-endian) holds
   starts (u64, one more than documents), then per level bytes, bitmap in blocks of 64 bytes,
   directory (u64); the last level has an empty bitmap and directory.
 
-``write`` encodes texts where they lie, stores the ids, orders them by doc_id over range
-partitions, and each task passes through its own once, writing a file whenever ``SHARD``
-ids are together. Files are written under another name and renamed, and a repeated task
+``write`` orders the texts by doc_id over range partitions, and each task passes through its
+own once, encoding them and writing a file whenever ``SHARD`` ids are together. Files are written under another name and renamed, and a repeated task
 writes the same bytes again; only the manifest, committed by Spark, says which files count.
 
 A tokenizer that drops blanks and takes no piece across them encodes the words between blanks
@@ -44,10 +43,10 @@ from ..session import shuffle_partitions, workspace
 from .common import arrow_batches, lookup, stored
 
 END = 2
-#: Ids of one file, and of one task's files together.
+#: Ids of one file, and bytes of text that a task gets on average at most.
 SHARD, TASK = 1 << 24, 1 << 27
 #: Characters of a text handled at once; words remembered, and their greatest length.
-PIECE, REMEMBERED, SHORT = 1 << 20, 1_000_000, 64
+PIECE, REMEMBERED, SHORT = 1 << 20, 700_000, 64
 MARKS = ".,;:!?"
 MAGIC, BLOCK = b"DACIDS01", 64
 HEAD = len(MAGIC) + 6 * 8
@@ -264,20 +263,6 @@ class Encoder:
         return [array("I", ids).tobytes() for ids in found]
 
 
-def token_ids(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
-    """doc_id (long), n_tokens, ids (binary: u32, little-endian, ``end`` last) of each row."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last = Encoder(tokenizer), np.array([end], "<u4").tobytes()
-        for batch in batches:
-            found = [b + last for b in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
-            counts = pa.array([len(b) // 4 for b in found], pa.int64())
-            yield pa.record_batch([batch.column(0), counts, pa.array(found, pa.binary())], ["doc_id", "n_tokens", "ids"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return arrow_batches(rows, encode, "doc_id long, n_tokens long, ids binary")
-
-
 # --- files ---------------------------------------------------------------------------
 MANIFEST = "part long, number long, file string, documents long, n_ids long, bytes long"
 
@@ -296,21 +281,22 @@ def write(
     """Write the ids of all texts below ``folder``; the manifest, one row per file, in their order.
 
     Ids stand in ascending doc_id order; rows without doc_id come first, and rows of one doc_id
-    are ordered by a hash of their ids. A null text counts as empty, and an empty one has the
+    are ordered by a hash of their text. A null text counts as empty, and an empty one has the
     end id alone. A text longer than ``shard`` ids gets a file of its own; memory grows with
     the longest text. Without rows no file is written. Other columns are not read.
     ``tokenizer`` is a path that every executor has, ``folder`` an address that all share.
     """
     spark = docs.sparkSession
-    rows = stored(token_ids(docs, tokenizer, end), "token-ids")
-    total = rows.agg(F.sum("n_tokens")).first()[0] or 0
-    tasks = max(shuffle_partitions(spark), total // TASK + 1)
-    tie = F.xxhash64("ids")
-    ordered = rows.repartitionByRange(tasks, F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tie = F.xxhash64("text")
+    ordered = rows.repartitionByRange(max(shuffle_partitions(spark), size // TASK + 1), F.col("doc_id"), tie)
+    ordered = ordered.sortWithinPartitions("doc_id", tie)
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path)
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, last = Encoder(tokenizer), np.array([end], "<u4").tobytes()
         part, number = TaskContext.get().partitionId(), 0
         doc_ids, counts, ids, held = [], [], [], 0
 
@@ -322,14 +308,16 @@ def write(
             return pa.record_batch([pa.array([x]) for x in row], [f.split()[0] for f in MANIFEST.split(", ")])
 
         for batch in batches:
-            for doc_id, n, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            found = encoder.encode(batch.column(1).to_pylist())
+            for doc_id, some in zip(batch.column(0).to_pylist(), found, strict=True):
+                n = len(some) // 4 + 1
                 if doc_ids and held + n > shard:
                     yield close()
                     number, held = number + 1, 0
                     doc_ids, counts, ids = [], [], []
                 doc_ids.append(doc_id)
                 counts.append(n)
-                ids.append(found)
+                ids += [some, last]
                 held += n
         if doc_ids:
             yield close()
