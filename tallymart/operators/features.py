@@ -85,13 +85,8 @@ def daily_activity(by_session: DataFrame, by_action: DataFrame) -> DataFrame:
     )
 
 
-def activity_from_log(sessions: DataFrame) -> DataFrame:
-    """``daily_activity`` straight from deduplicated records with their action arrays.
-
-    A record contributes one row for the session and one per action, on the day each
-    happened. Summing them together reads and deduplicates the log once, where the
-    two daily tables would do so twice and then need an outer join.
-    """
+def activity_rows(sessions: DataFrame) -> DataFrame:
+    """One row for every session (``pos`` 0) and one per action, with the time it ``happened``."""
     start = F.col("event_timestamp")
     steps = F.filter("actions", lambda a: a.isNotNull())
     rows = sessions.filter("user_id is not null").select(
@@ -108,16 +103,17 @@ def activity_from_log(sessions: DataFrame) -> DataFrame:
             )
         ).alias("pos", "act"),
     )
-    is_session = F.col("pos") == 0
-    happened = F.timestamp_seconds(
+    acted = F.timestamp_seconds(
         F.unix_timestamp("at") + F.coalesce("act.time_offset", F.lit(0))
     )
-    kind = F.col("act.type")
-    per_product = rows.groupBy(
-        "user_id",
-        F.to_date(F.when(is_session, F.col("at")).otherwise(happened)).alias("activity_date"),
-        F.col("act.product_id").alias("product_id"),
-    ).agg(
+    return rows.withColumn("happened", F.when(F.col("pos") == 0, F.col("at")).otherwise(acted))
+
+
+def product_sums() -> list[Column]:
+    """Sums of ``activity_rows`` per user, day and product."""
+    is_session, kind = F.col("pos") == 0, F.col("act.type")
+    price = F.col("act.price").try_cast(MONEY)
+    return [
         F.count_if(is_session).alias("sessions"),
         F.sum(F.when(is_session, F.col("duration_seconds"))).alias("duration"),
         F.sum(F.when(is_session, F.col("page_views"))).alias("page_views"),
@@ -128,18 +124,43 @@ def activity_from_log(sessions: DataFrame) -> DataFrame:
             F.count_if(kind == flag.removeprefix("is_")).alias(name)
             for name, flag in _ACTION_SUMS.items()
         ],
-        F.sum(F.col("act.price").try_cast(MONEY)).alias("price_sum"),
-        F.count(F.col("act.price").try_cast(MONEY)).alias("price_count"),
-    )
-    counts = [*_SESSION_SUMS, *_ACTION_SUMS]
+        F.sum(price).alias("price_sum"),
+        F.count(price).alias("price_count"),
+    ]
+
+
+def day_sums() -> list[Column]:
+    """Sums of ``product_sums`` per user and day."""
     average = ratio(F.sum("price_sum"), F.sum("price_count"), 6)
     zero = F.lit(0)
-    return per_product.groupBy(*DAY).agg(
-        *[F.coalesce(F.sum(c), zero).cast("bigint").alias(c) for c in counts],
+    return [
+        *[
+            F.coalesce(F.sum(c), zero).cast("bigint").alias(c)
+            for c in [*_SESSION_SUMS, *_ACTION_SUMS]
+        ],
         F.count("product_id").alias("distinct_products"),
         F.coalesce(F.sum("revenue"), zero).cast(TOTAL).alias("revenue"),
         F.coalesce(average, zero).cast("decimal(18,6)").alias("avg_product_price"),
+    ]
+
+
+def activity_from_log(sessions: DataFrame) -> DataFrame:
+    """``daily_activity`` straight from deduplicated records with their action arrays.
+
+    A record contributes one row for the session and one per action, on the day each
+    happened. Summing them together reads and deduplicates the log once, where the
+    two daily tables would do so twice and then need an outer join.
+    """
+    per_product = (
+        activity_rows(sessions)
+        .groupBy(
+            "user_id",
+            F.to_date("happened").alias("activity_date"),
+            F.col("act.product_id").alias("product_id"),
+        )
+        .agg(*product_sums())
     )
+    return per_product.groupBy(*DAY).agg(*day_sums())
 
 
 def purchase_label() -> Column:

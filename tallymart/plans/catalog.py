@@ -20,6 +20,7 @@ from ..operators import (
 from ..session import materialise, workspace
 from ..sources import files, sinks, warehouse
 from ..streaming import ingest
+from ..streaming.sessions import SessionLog
 from .lakehouse import Lakehouse
 
 QUERIES: dict[str, Callable[[Lakehouse], DataFrame]] = {}
@@ -680,22 +681,24 @@ def _(lake):
     )
 
 
+def _session_log(lake) -> SessionLog:
+    raw = warehouse.stream_raw(lake.spark, lake.folder)
+    return SessionLog(lake.spark, raw, workspace(lake.spark, "session-log"))
+
+
 @query("stream_dedup_sessions")
 def _(lake):
-    path = workspace(lake.spark, "sessions")
-    raw = warehouse.stream_raw(lake.spark, lake.folder)
-    _run(ingest.merge_sessions(raw, path, workspace(lake.spark, "checkpoint")))
-    staged = lake.staged("clickstream")
-    merged = lake.spark.read.schema(staged.schema).parquet(path)
-    return silver.silver_user_sessions(merged.drop("bucket"))
+    log = _session_log(lake)
+    _run(log.land())
+    _run(log.close())
+    return silver.silver_user_sessions(log.sessions())
 
 
 @query("stream_daily_activity")
 def _(lake):
-    sessions, daily = workspace(lake.spark, "sessions"), workspace(lake.spark, "daily")
-    raw = warehouse.stream_raw(lake.spark, lake.folder)
-    _run(ingest.merge_sessions(raw, sessions, workspace(lake.spark, "checkpoint"), daily=daily))
-    return ingest.read_daily(lake.spark, daily, lake.activity.schema).drop("month")
+    log = _session_log(lake)
+    log.run()
+    return log.days()
 
 
 @query("stream_campaign_upsert")
