@@ -27,9 +27,10 @@ is summed anew on reading.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -59,18 +60,26 @@ class SessionLog:
     gap: str = "1 hour"
     reach_seconds: int = 86_400
 
-    @property
+    @cached_property
     def schema(self) -> StructType:
         return stage_clickstream(self.raw).schema
 
+    @cached_property
+    def _landed_schema(self) -> StructType:
+        return StructType.fromDDL(f"{self.schema.toDDL()}, query string, batch int, late boolean")
+
+    @cached_property
+    def _closed_schema(self) -> StructType:
+        return StructType.fromDDL(f"{self.schema.toDDL()}, stray boolean")
+
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def _start(self, df: DataFrame, name: str, by: str) -> StreamingQuery:
+    def _start(self, df: DataFrame, name: str, *by: str) -> StreamingQuery:
         """Append to the table ``name``; the sink's own log makes every batch count once."""
         return (
             df.writeStream.format("parquet")
-            .partitionBy(by)
+            .partitionBy(*by)
             .option("path", self._path(name))
             .option("checkpointLocation", self._path(f"checkpoints/{name}"))
             .outputMode("append")
@@ -92,9 +101,6 @@ class SessionLog:
         return self.spark.readStream.schema(schema).parquet(self._path(name))
 
     # --- the streams
-    def _landed_schema(self) -> StructType:
-        return StructType.fromDDL(f"{self.schema.toDDL()}, query string, batch int, late boolean")
-
     def land(self) -> StreamingQuery:
         """Stage and append the records at hand, late ones in folders of their own."""
         path, lateness = self._path("landed"), F.expr(f"INTERVAL {self.lateness}")
@@ -107,19 +113,19 @@ class SessionLog:
             before = commits.newest_before(query, number)
             at = F.col("event_timestamp")
             late = at.isNull() if before is None else at.isNull() | (at <= F.lit(before) - lateness)
-            out = f"{path}/query={query}/batch={number}"
+            seen = Observation()
             (
                 stage_clickstream(batch)
                 .withColumn("late", late)
+                .observe(
+                    seen, F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("late"), F.max(at).alias("newest")
+                )
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy("late")
-                .parquet(out)
+                .parquet(f"{path}/query={query}/batch={number}")
             )
-            done = self._table(f"landed/query={query}/batch={number}", f"{self.schema.toDDL()}, late boolean")
-            facts = done.agg(
-                F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("late"), F.max(at).alias("newest")
-            ).first()
+            facts = seen.get
             newest = max((t for t in (before, facts["newest"]) if t is not None), default=None)
             commits.record(query, number, rows=facts["rows"], late=facts["late"], newest=newest)
 
@@ -136,18 +142,18 @@ class SessionLog:
         # the least such row is the newest record, ties in the order of the other columns
         ranked = F.struct((-F.unix_micros("event_timestamp")).alias("_newest"), *rest)
         closed = (
-            self._stream("landed", self._landed_schema())
+            self._stream("landed", self._landed_schema)
             .filter("not late and session_id is not null")
             .withWatermark("event_timestamp", self.lateness)
             .groupBy("session_id", F.session_window("event_timestamp", self.gap))
             .agg(F.min(ranked).alias("best"))
         )
         names = [F.col("session_id") if c == "session_id" else F.col(f"best.{c}") for c in self.schema.names]
-        return self._start(closed.select(*names), "sessions", "event_date")
+        return self._start(closed.select(*names).withColumn("stray", self._strays()), "sessions", "stray", "event_date")
 
     def count(self) -> StreamingQuery:
         """Append the (user, day) rows of the days that are over."""
-        rows = features.activity_rows(self._stream("sessions", self.schema).filter(~self._strays()))
+        rows = features.activity_rows(self._stream("sessions", self._closed_schema).filter("not stray"))
         # sessions come in the order of their times, batch by batch; actions lie within reach
         per_product = (
             rows.withWatermark("happened", f"{2 * self.reach_seconds + 1} seconds")
@@ -170,42 +176,69 @@ class SessionLog:
 
     def late(self) -> DataFrame:
         """The records that came too late for the state, or have no time."""
-        return self._table("landed", self._landed_schema()).filter("late").select(*self.schema.names)
+        return self._table("landed", self._landed_schema).filter("late").select(*self.schema.names)
 
     def commits(self) -> DataFrame:
         """Rows, late rows and newest time of every batch."""
         return Commits(self.spark, self._path("landed")).all()
 
-    def _on_time(self) -> DataFrame:
-        """Closed sessions, and the records of open ones: those newer than all closed."""
-        closed = self._table("sessions", self.schema).select(*self.schema.names)
-        last = closed.agg(F.max("event_timestamp")).scalar()
-        landed = self._table("landed", self._landed_schema()).filter("not late")
-        return closed.unionByName(
-            landed.filter(last.isNull() | (F.col("event_timestamp") > last)).select(*self.schema.names)
-        )
+    def _closed(self) -> DataFrame:
+        return self._table("sessions", self._closed_schema)
+
+    def _open(self) -> DataFrame:
+        """The records on time that are newer than all closed sessions: those of open ones."""
+        last = self._closed().agg(F.max("event_timestamp")).scalar()
+        landed = self._table("landed", self._landed_schema).filter("not late")
+        newer = landed.filter(last.isNull() | (F.col("event_timestamp") > last))
+        return newer.select(*self.schema.names)
 
     def sessions(self) -> DataFrame:
         """The newest record of every session, as the batch dedup of all records has it."""
-        return latest_sessions(self._on_time().unionByName(self.late()))
+        closed = self._closed().select(*self.schema.names)
+        return latest_sessions(closed.unionByName(self._open()).unionByName(self.late()))
 
     def days(self) -> DataFrame:
-        """Daily activity of all sessions, as the batch has it."""
-        empty = features.activity_from_log(self.spark.createDataFrame([], self.schema))
-        closed = self._table("days", empty.schema).select(*empty.columns)
-        last = closed.agg(F.max("activity_date")).scalar()
-        day, at = F.col("activity_date"), F.col("event_timestamp")
-        on_time, late, now = self._on_time(), self.late(), self.sessions()
-
-        held = on_time.join(late.select("session_id").distinct(), "session_id", "left_semi")
-        moved = held.unionByName(late).unionByName(on_time.filter(self._strays()))
-        touched = features.activity_rows(moved).select("user_id", F.to_date("happened").alias("activity_date"))
-        touched = touched.distinct()
-
-        open_from = F.date_add(last, 1).cast("timestamp") - F.make_dt_interval(secs=F.lit(self.reach_seconds))
-        recent = now.filter(last.isNull() | at.isNull() | (at >= open_from) | self._strays())
-        recent = features.activity_from_log(recent).filter(last.isNull() | day.isNull() | (day > last))
-        owned = now.join(touched.select("user_id").distinct(), "user_id", "left_semi")
-        anew = features.activity_from_log(owned).filter(day <= last).join(touched, features.DAY, "left_semi")
-        kept = closed.join(touched, features.DAY, "left_anti")
-        return kept.unionByName(anew.select(*empty.columns)).unionByName(recent.select(*empty.columns))
+        """Daily activity of all sessions, as the batch has it.
+
+        Without late records only the open days are summed here, from the last folders of the
+        closed sessions and from open ones.
+        """
+        names = [c for c in self._days_schema.names]
+        counted = self._table("days", self._days_schema)
+        last = counted.agg(F.max("activity_date")).scalar()
+        day, closed = F.col("activity_date"), self._closed()
+        strays = closed.filter("stray").select(*self.schema.names)
+        steady = closed.filter("not stray").select(*self.schema.names)
+        reach = F.make_dt_interval(secs=F.lit(self.reach_seconds))
+        # folders of days whose sessions can reach an open day
+        near = last.isNull() | (F.col("event_date") >= F.to_date(F.date_add(last, 1).cast("timestamp") - reach))
+        later = last.isNull() | day.isNull() | (day > last)
+
+        if not self.commits().agg(F.sum("late")).first()[0]:
+            now = steady.filter(near).unionByName(latest_sessions(self._open()))
+            recent = features.activity_from_log(now.unionByName(strays)).filter(later)
+            touched, anew = self._days_of(strays), strays
+            reworked = steady
+        else:
+            late = self.late()
+            own = late.select("session_id").distinct()
+            held = steady.join(own, "session_id", "left_semi").unionByName(self._open())
+            mended = latest_sessions(held.unionByName(late).unionByName(strays))
+            untouched = steady.join(own, "session_id", "left_anti")
+            recent = features.activity_from_log(untouched.filter(near).unionByName(mended)).filter(later)
+            moved = steady.join(own, "session_id", "left_semi").unionByName(late).unionByName(strays)
+            touched, anew, reworked = self._days_of(moved), mended, untouched
+        users = touched.select("user_id").distinct()
+        owned = reworked.join(users, "user_id", "left_semi").unionByName(anew.join(users, "user_id", "left_semi"))
+        again = features.activity_from_log(owned).filter(day <= last).join(touched, features.DAY, "left_semi")
+        kept = counted.join(touched, features.DAY, "left_anti")
+        return kept.select(*names).unionByName(again.select(*names)).unionByName(recent.select(*names))
+
+    @cached_property
+    def _days_schema(self) -> StructType:
+        return features.activity_from_log(self.spark.createDataFrame([], self.schema)).schema
+
+    def _days_of(self, sessions: DataFrame) -> DataFrame:
+        """The (user, day) pairs that sessions count in."""
+        rows = features.activity_rows(sessions)
+        return rows.select("user_id", F.to_date("happened").alias("activity_date")).distinct()
