@@ -18,6 +18,7 @@ from ..operators.features import DAY, activity_from_log
 from ..operators.incremental import upsert
 from ..operators.silver import latest_sessions
 from ..operators.staging import stage_clickstream
+from ..sources.commits import Commits, query_id
 from ..sources.files import TIME
 from ..sources.sinks import upsert_partitioned
 
@@ -62,10 +63,13 @@ def merge_sessions(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        commits, own = Commits(spark, path), query_id(spark)
+        if commits.find(own, batch_id) is not None:
+            return
         fresh = _bucketed(stage_clickstream(batch), buckets)
         if daily:
             # days the sessions counted in before; kept per batch, so a replay still knows them
-            touched = f"{daily.rstrip('/')}-touched/batch_id={batch_id}"
+            touched = f"{daily.rstrip('/')}-touched/query={own}/batch_id={batch_id}"
             fresh.limit(0).write.mode("append").partitionBy("bucket").parquet(path)
             known = spark.read.schema(fresh.schema).parquet(path)
             before = known.join(fresh.select("session_id"), "session_id", "left_semi")
@@ -79,6 +83,7 @@ def merge_sessions(
             owned = sessions.join(days.select("user_id").distinct(), "user_id", "left_semi")
             now = activity_from_log(owned).join(days, DAY, "left_semi")
             _replace_days(spark, daily, now, days)
+        commits.record(own, batch_id)
 
     return (
         raw.writeStream.foreachBatch(merge)
@@ -115,10 +120,20 @@ def upsert_stream(
     by: Sequence[str],
     order_by: Sequence[Column] = (),
 ) -> StreamingQuery:
-    """Per batch: compute rows with ``build`` and merge them into a partitioned table."""
+    """Per batch: compute rows with ``build`` and merge them into a partitioned table.
+
+    A batch leaves a record when all its folders are in place. Run again after that it changes
+    nothing, so it cannot bring back rows that a later batch or another writer has replaced; run
+    again before that, it completes the folders that were left old.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitioned(batch.sparkSession, path, build(batch), keys, by, order_by)
+        spark = batch.sparkSession
+        commits, own = Commits(spark, path), query_id(spark)
+        if commits.find(own, batch_id) is not None:
+            return
+        upsert_partitioned(spark, path, build(batch), keys, by, order_by)
+        commits.record(own, batch_id)
 
     return (
         source.writeStream.foreachBatch(merge)

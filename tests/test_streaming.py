@@ -1,5 +1,7 @@
 """Streaming forms against their batch twins."""
 
+import shutil
+
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
@@ -110,3 +112,56 @@ def test_the_event_table_may_be_a_folder_of_files(spark, tmp_path):
     lake = Lakehouse(spark, str(DATA))
     assert rows_of(spark.read.parquet(out)) == rows_of(
         lake.raw("clickstream").select("event_id", "session_id"))
+
+
+def upserts(spark, tmp_path):
+    """A table of (id, part, value) kept by a stream over files, and a way to run it."""
+    src, out, ck = (tmp_path / n for n in ("src", "out", "ck"))
+
+    def run(*rows):
+        if rows:
+            df = spark.createDataFrame(list(rows), "id long, part int, value string")
+            df.coalesce(1).write.mode("append").parquet(str(src))
+        stream = spark.readStream.schema("id long, part int, value string").parquet(str(src))
+        finish(ingest.upsert_stream(stream, lambda b: b, str(out), str(ck), ["id"], ["part"]))
+        return rows_of(spark.read.schema("id long, value string, part int").parquet(str(out)))
+
+    return run, out, ck
+
+
+def lose_last_commit(ck):
+    """As if the driver had been lost before the checkpoint moved on."""
+    last = max((f for f in (ck / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    for f in (last, last.with_name(f".{last.name}.crc")):
+        f.unlink(missing_ok=True)
+
+
+def test_a_replayed_batch_does_not_bring_old_rows_back(spark, tmp_path):
+    run, out, ck = upserts(spark, tmp_path)
+    run((1, 0, "first"), (2, 1, "first"))
+    fix = spark.createDataFrame([(1, 0, "mended by hand")], "id long, part int, value string")
+    ingest.upsert_partitioned(spark, str(out), fix, ["id"], ["part"])
+    lose_last_commit(ck)
+    assert run() == [(1, "mended by hand", 0), (2, "first", 1)]
+
+
+def test_a_crash_between_two_folders_is_completed(spark, tmp_path):
+    run, out, ck = upserts(spark, tmp_path)
+    run((1, 0, "old"), (2, 1, "old"))
+    shutil.copytree(out / "part=1", tmp_path / "kept")
+    assert run((1, 0, "new"), (2, 1, "new")) == [(1, "new", 0), (2, "new", 1)]
+    # the second folder was not moved into place yet, and neither record nor checkpoint written
+    shutil.rmtree(out / "part=1")
+    shutil.copytree(tmp_path / "kept", out / "part=1")
+    records = sorted(tmp_path.glob("out-commits/query=*/batch=1"))
+    shutil.rmtree(records[0])
+    lose_last_commit(ck)
+    assert run() == [(1, "new", 0), (2, "new", 1)]
+
+
+def test_a_fresh_checkpoint_does_not_skip_its_batches(spark, tmp_path):
+    run, out, ck = upserts(spark, tmp_path)
+    run((1, 0, "one"))
+    ck.rename(tmp_path / "lost")
+    (tmp_path / "src").rename(tmp_path / "done")
+    assert run((1, 0, "two"), (3, 2, "three")) == [(1, "two", 0), (3, "three", 2)]  # batch 0 again
