@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import (
-    campaign, features, incremental, kpis, masking, propensity, quality, silver, staging, star,
+    campaign, features, incremental, kpis, masking, propensity, quality, ranks, silver, staging, star,
 )
 from ..session import materialise, workspace
 from ..sources import files, sinks, warehouse
@@ -418,9 +418,22 @@ def _(lake):
 
 @query("ml_train_lr")
 def _(lake):
-    model, *_ = _trained(lake)
+    """The weights, and whether the slope of the loss certifies them as the optimum."""
+    feats = materialise(lake.spark, lake.behaviour, "features")
+    vectors, _scaler = propensity.prepare(propensity.split(feats)[0])
+    model = propensity.train(vectors)
+    slopes = propensity.gradient(vectors, model)
+    worst = slopes.agg(F.max(F.abs("gradient"))).first()[0]
     weights = propensity.importance(lake.spark, model)
-    return weights.withColumn("intercept", F.lit(round(model.intercept, 4)))
+    return weights.withColumn("intercept", F.lit(round(model.intercept, 4))).withColumn(
+        "optimal", F.lit(worst is not None and worst < propensity.OPTIMAL)
+    )
+
+
+@query("ml_rule_auc")
+def _(lake):
+    """Exact ranking metrics of the rule scores."""
+    return ranks.ranking_metrics(campaign.score_rule(lake.behaviour), "purchase_probability", schemas.LABEL)
 
 
 @query("ml_metrics")

@@ -5,11 +5,12 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_module
+from oracle_queries import oracle
+from tallymart.plans import catalog
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {name: q for name, q in entry_module.queries().items() if name in catalog.QUERIES}
+ORACLE = oracle()
 TABLES = "region nation customer supplier part orders lineitem events".split()
-ROWS_ONLY = {"ml_train_lr", "ml_metrics", "ml_importance", "ml_batch_score"}
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
@@ -24,9 +25,8 @@ def duck():
     return con
 
 
-def test_every_query_has_sql_unless_it_fits_a_model():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
-    assert not set(ORACLE) - set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(catalog.QUERIES) == set(ORACLE)
 
 
 def _sorted(rows, columns, order):
