@@ -88,34 +88,12 @@ def _campaign(source: str) -> str:
       FROM {source} l LEFT JOIN silver_customers c ON l.customer_id = c.customer_id"""
 
 
-# daily column -> expression summed into it
-_SESSION_SUMS = {"duration": "duration_seconds", "page_views": "page_views", "actions": "actions_count"}
-_ACTION_SUMS = {
-    f"{a}_count": f"is_{a}"
-    for a in ["view", "add_to_cart", "purchase", "search", "wishlist", "checkout_view"]
-}
-_DAILY = ["sessions", *_SESSION_SUMS, "purchase_sessions", *_ACTION_SUMS, "distinct_products"]
-_ROLLED = {
-    (f"total_{c}_3d" if c in _SESSION_SUMS else f"{c}_3d"): c
-    for c in _DAILY if c != "distinct_products"
-}
-_GUARDED = [  # ratio, numerator, denominator, digits
-    ("avg_session_duration_3d", "total_duration_3d", "sessions_3d", 2),
-    ("cart_conversion_rate_3d", "purchase_count_3d", "add_to_cart_count_3d", 4),
-    ("purchase_conversion_rate_3d", "purchase_count_3d", "total_actions_3d", 4),
-    ("actions_per_session_3d", "total_actions_3d", "sessions_3d", 4),
-    ("purchase_session_rate_3d", "purchase_sessions_3d", "sessions_3d", 4),
-]
 _GENDER = " ".join(
     f"WHEN lower(gender) IN {_in(words)} THEN {_text(name)}"
     for name, words in schemas.GENDER_SYNONYMS.items()
 )
 
 
-def _big_sums(columns: dict[str, str], call: str) -> str:
-    return ", ".join(f"CAST({call.format(x)} AS BIGINT) AS {c}" for c, x in columns.items())
-
-
 # --- common table expressions: name -> SQL; dependencies are found by name -------------
 CTES: dict[str, str] = {
     "raw_customers": f"""SELECT c_custkey AS customer_id, ' ' || split_part(c_name, '#', 1) AS first_name,
@@ -256,37 +234,87 @@ CTES: dict[str, str] = {
       COALESCE(c.address, 'Unknown Province') AS province, {_REGION} AS macro_region
       FROM fact_order f JOIN silver_customers c ON f.customer_key = c.customer_id""",
     # features
-    "daily_sessions": f"""SELECT user_id, CAST(timestamp AS DATE) AS activity_date,
-      count(DISTINCT session_id) AS sessions, count(*) FILTER (WHERE has_purchase) AS purchase_sessions,
-      CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue, {_big_sums(_SESSION_SUMS, 'sum({})')}
+    # Fixed values, here and below: the names of the daily and the three-day columns.
+    "daily_sessions": """SELECT user_id, CAST(timestamp AS DATE) AS activity_date,
+      count(DISTINCT session_id) AS sessions,
+      CAST(sum(duration_seconds) AS BIGINT) AS duration,
+      CAST(sum(page_views) AS BIGINT) AS page_views,
+      CAST(sum(actions_count) AS BIGINT) AS actions,
+      count(*) FILTER (WHERE has_purchase) AS purchase_sessions,
+      CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue
       FROM silver_sessions WHERE user_id IS NOT NULL GROUP BY ALL""",
     "daily_actions": f"""SELECT user_id, CAST(action_timestamp AS DATE) AS activity_date,
-      {_big_sums(_ACTION_SUMS, 'sum({})')}, count(DISTINCT product_id) AS distinct_products,
+      CAST(sum(is_view) AS BIGINT) AS view_count,
+      CAST(sum(is_add_to_cart) AS BIGINT) AS add_to_cart_count,
+      CAST(sum(is_purchase) AS BIGINT) AS purchase_count,
+      CAST(sum(is_search) AS BIGINT) AS search_count,
+      CAST(sum(is_wishlist) AS BIGINT) AS wishlist_count,
+      CAST(sum(is_checkout_view) AS BIGINT) AS checkout_view_count,
+      count(DISTINCT product_id) AS distinct_products,
       CAST({_ratio('sum(product_price)', 'count(product_price)', 6)} AS DECIMAL(18,6)) AS avg_product_price
       FROM silver_actions JOIN (SELECT session_id FROM silver_sessions) USING (session_id)
       WHERE user_id IS NOT NULL GROUP BY ALL""",
-    "daily_activity": "SELECT user_id, activity_date, "
-    + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in [*_DAILY, "revenue", "avg_product_price"])
-    + " FROM daily_sessions FULL JOIN daily_actions USING (user_id, activity_date)",
+    "daily_activity": """SELECT user_id, activity_date,
+      COALESCE(sessions, 0) AS sessions,
+      COALESCE(duration, 0) AS duration,
+      COALESCE(page_views, 0) AS page_views,
+      COALESCE(actions, 0) AS actions,
+      COALESCE(purchase_sessions, 0) AS purchase_sessions,
+      COALESCE(view_count, 0) AS view_count,
+      COALESCE(add_to_cart_count, 0) AS add_to_cart_count,
+      COALESCE(purchase_count, 0) AS purchase_count,
+      COALESCE(search_count, 0) AS search_count,
+      COALESCE(wishlist_count, 0) AS wishlist_count,
+      COALESCE(checkout_view_count, 0) AS checkout_view_count,
+      COALESCE(distinct_products, 0) AS distinct_products,
+      COALESCE(revenue, 0) AS revenue,
+      COALESCE(avg_product_price, 0) AS avg_product_price
+      FROM daily_sessions FULL JOIN daily_actions USING (user_id, activity_date)""",
     "anchor": """SELECT DISTINCT user_id, activity_date AS prediction_date,
       CAST(CASE WHEN purchase_sessions > 0 OR purchase_count > 0 THEN 1 ELSE 0 END AS INT) AS label_purchase_tomorrow
       FROM daily_activity""",
     # every active day is handed on to the three days after it
     "carried": """SELECT * REPLACE (activity_date + n AS activity_date)
       FROM daily_activity, (VALUES (1), (2), (3)) AS later(n)""",
-    "carried_sums": f"""SELECT user_id, activity_date AS prediction_date, {_big_sums(_ROLLED, 'sum({})')},
-      max(distinct_products) AS distinct_products_3d, CAST(sum(revenue) AS DOUBLE) AS total_revenue_3d,
+    "carried_sums": """SELECT user_id, activity_date AS prediction_date,
+      CAST(sum(sessions) AS BIGINT) AS sessions_3d,
+      CAST(sum(duration) AS BIGINT) AS total_duration_3d,
+      CAST(sum(page_views) AS BIGINT) AS total_page_views_3d,
+      CAST(sum(actions) AS BIGINT) AS total_actions_3d,
+      CAST(sum(purchase_sessions) AS BIGINT) AS purchase_sessions_3d,
+      CAST(sum(view_count) AS BIGINT) AS view_count_3d,
+      CAST(sum(add_to_cart_count) AS BIGINT) AS add_to_cart_count_3d,
+      CAST(sum(purchase_count) AS BIGINT) AS purchase_count_3d,
+      CAST(sum(search_count) AS BIGINT) AS search_count_3d,
+      CAST(sum(wishlist_count) AS BIGINT) AS wishlist_count_3d,
+      CAST(sum(checkout_view_count) AS BIGINT) AS checkout_view_count_3d,
+      max(distinct_products) AS distinct_products_3d,
+      CAST(sum(revenue) AS DOUBLE) AS total_revenue_3d,
       CAST(sum(avg_product_price) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_product_price_3d
       FROM carried GROUP BY ALL""",
-    "rolling": "SELECT user_id, prediction_date, label_purchase_tomorrow, "
-    + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in [*_ROLLED, "distinct_products_3d"])
-    + """, COALESCE(total_revenue_3d, 0.0) AS total_revenue_3d,
+    "rolling": """SELECT user_id, prediction_date, label_purchase_tomorrow,
+      COALESCE(sessions_3d, 0) AS sessions_3d,
+      COALESCE(total_duration_3d, 0) AS total_duration_3d,
+      COALESCE(total_page_views_3d, 0) AS total_page_views_3d,
+      COALESCE(total_actions_3d, 0) AS total_actions_3d,
+      COALESCE(purchase_sessions_3d, 0) AS purchase_sessions_3d,
+      COALESCE(view_count_3d, 0) AS view_count_3d,
+      COALESCE(add_to_cart_count_3d, 0) AS add_to_cart_count_3d,
+      COALESCE(purchase_count_3d, 0) AS purchase_count_3d,
+      COALESCE(search_count_3d, 0) AS search_count_3d,
+      COALESCE(wishlist_count_3d, 0) AS wishlist_count_3d,
+      COALESCE(checkout_view_count_3d, 0) AS checkout_view_count_3d,
+      COALESCE(distinct_products_3d, 0) AS distinct_products_3d,
+      COALESCE(total_revenue_3d, 0.0) AS total_revenue_3d,
       COALESCE(avg_product_price_3d, 0.0) AS avg_product_price_3d
       FROM anchor LEFT JOIN carried_sums USING (user_id, prediction_date)""",
-    "behaviour": "SELECT *, " + ", ".join(
-        f"COALESCE({_ratio(num, den, digits)}, 0.0) AS {name}"
-        for name, num, den, digits in _GUARDED
-    ) + " FROM rolling",
+    "behaviour": f"""SELECT *,
+      COALESCE({_ratio('total_duration_3d', 'sessions_3d', 2)}, 0.0) AS avg_session_duration_3d,
+      COALESCE({_ratio('purchase_count_3d', 'add_to_cart_count_3d', 4)}, 0.0) AS cart_conversion_rate_3d,
+      COALESCE({_ratio('purchase_count_3d', 'total_actions_3d', 4)}, 0.0) AS purchase_conversion_rate_3d,
+      COALESCE({_ratio('total_actions_3d', 'sessions_3d', 4)}, 0.0) AS actions_per_session_3d,
+      COALESCE({_ratio('purchase_sessions_3d', 'sessions_3d', 4)}, 0.0) AS purchase_session_rate_3d
+      FROM rolling""",
     "scored": f"""SELECT user_id, user_id AS customer_id, prediction_date, prediction_date AS campaign_date,
       label_purchase_tomorrow, {_score(schemas.RULE_INTERCEPT)} AS purchase_probability FROM behaviour""",
     "scored_cold": f"""SELECT user_id AS customer_id, prediction_date AS campaign_date,
