@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from tallymart import schemas
+from tallymart.operators import rules
 from tallymart.plans import lakehouse
 from tallymart.sources import warehouse
 
@@ -428,6 +429,40 @@ def _describe() -> str:
     )
 
 
+#: Tables of the declared rules that have another name here.
+_CALLED = {
+    "stg_clickstream_events": "(SELECT *, [] AS actions FROM stg_clickstream)", "silver_user_sessions": "silver_sessions",
+    "silver_session_actions": "silver_actions",
+    "dim_customer": "(SELECT customer_id, first_name, last_name, gender, tire, address FROM silver_customers)",
+    "dim_date": """(SELECT * FROM dim_date WHERE calendar_date BETWEEN (SELECT min(CAST(order_date AS DATE)) FROM silver_orders)
+      AND (SELECT max(CAST(order_date AS DATE)) FROM silver_orders))""",
+    "dim_payment_method": """(SELECT *, DATE '2025-01-01' AS effective_start_date, true AS is_current
+      FROM silver_payment_methods)""",
+    "fact_order_items": "fact_items", "user_behavior_3d": "behaviour",
+}
+
+
+def _declared() -> str:
+    out = []
+    for table, declared in rules.DECLARED.items():
+        source = _CALLED.get(table, table)
+        has_created = table in ("stg_customers", "stg_products", "stg_orders", "silver_customers", "silver_products", "silver_orders")
+        checks = []
+        for c in declared.not_null:
+            stored = c in rules.AUDIT and not (c == "created_at" and has_created)
+            checks.append(("not_null", c, "0" if stored else f"count(*) FILTER (WHERE {c} IS NULL)"))
+        for key in declared.unique:
+            value = key[0] if len(key) == 1 else f"({', '.join(key)})"
+            checks.append(("unique", "+".join(key), f"count({value}) - count(DISTINCT {value})"))
+        for c, values in declared.accepted.items():
+            allowed = _in(values) if isinstance(values[0], str) else f"({', '.join(map(str, values))})"
+            checks.append(("accepted_values", c, f"count(*) FILTER (WHERE {c} NOT IN {allowed})"))
+        rows = ", ".join(f"('{rule}', '{c}', CAST({count} AS BIGINT))" for rule, c, count in checks)
+        out.append(f"""SELECT '{table}' AS table_name, u.r[1] AS rule, u.r[2] AS column_name, rows_checked, u.r[3] AS violations
+          FROM (SELECT count(*) AS rows_checked, [{rows}] AS found FROM {source} t), unnest(found) u(r)""")
+    return " UNION ALL ".join(out)
+
+
 _SESSION_COLUMNS = "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM silver_sessions"
 _CLICK_COLUMNS = "SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg_clickstream"
 _FACT_ORDER = """SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(discount_amt AS DOUBLE) AS discount_amt,
@@ -654,6 +689,15 @@ BODIES: dict[str, str] = {
     "stream_campaign_upsert": "SELECT * FROM campaign",
     "inc_high_water_mark": """SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM stg_orders
       WHERE updated_at > (SELECT max(updated_at) FROM stg_orders WHERE order_date < DATE '2000-01-01')""",
+    "inc_order_items": """SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(discount AS DOUBLE) AS discount,
+      CAST(line_total_amount AS DOUBLE) AS line_total_amount) FROM stg_order_items
+      WHERE order_item_id > (SELECT max(order_item_id) FROM stg_order_items WHERE order_id < 1000)""",
+    "inc_click_events": """WITH days AS (SELECT min(event_date) + 10 AS half FROM stg_clickstream),
+      loaded AS (SELECT event_id, event_timestamp FROM stg_clickstream, days
+        WHERE event_date < half OR (event_date = half AND user_id % 2 = 0))
+      SELECT * EXCLUDE (n_actions) REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg_clickstream
+      WHERE event_timestamp >= (SELECT max(event_timestamp) FROM loaded)
+        AND (event_timestamp, event_id) NOT IN (SELECT event_timestamp, event_id FROM loaded)""",
     "ml_impute": "SELECT user_id, prediction_date, " + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}" for c in schemas.FEATURES) + " FROM behaviour",
     "ml_scaled_features": "SELECT user_id, prediction_date, " + ", ".join(
@@ -678,6 +722,7 @@ BODIES: dict[str, str] = {
         f"""SELECT 'customers' AS table_name, count(*) AS rows_checked, '{c}' AS column_name,
         count(*) FILTER (WHERE {c} IS NULL) AS violations FROM stg_customers"""
         for c in ["customer_id", "email", "gender", "tire", "address", "created_at"]),
+    "dq_declared_rules": _declared(),
     "dq_unique": _dup("order_item_id", "stg_order_items"),
     "dq_unique_composite": _dup("order_id, product_id", "stg_order_items"),
     "dq_accepted_values": f"""SELECT tire AS value, count(*) AS rows FROM stg_customers

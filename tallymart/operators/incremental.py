@@ -22,6 +22,25 @@ def high_water_mark(
     return source.filter(mark.isNull() | above)
 
 
+def rows_after(source: DataFrame, target: DataFrame, time: str, keys: Sequence[str]) -> DataFrame:
+    """Source rows that an increment must load: those after the target's newest time, and of that very time
+    those whose key the target does not hold.
+
+    A border time that several rows share, some of them loaded, is thus neither lost nor
+    loaded twice. A row without a time is new unless the target holds its key without a time.
+    Only the target's rows of the border are compared. While the target is empty all rows count.
+    """
+    mark = target.agg(F.max(time)).scalar()
+    due = F.col(time).isNull() | mark.isNull() | (F.col(time) >= mark)
+    border = target.filter(F.col(time).isNull() | (F.col(time) == mark))
+    named = [f"_held_{k}" for k in range(len(keys) + 1)]
+    held = border.select(*[F.col(c).alias(n) for c, n in zip([*keys, time], named, strict=True)])
+    same = F.lit(True)
+    for c, n in zip([*keys, time], named, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    return source.filter(due).join(held, same, "left_anti")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.columns import with_audit
 from ..operators import (
-    campaign, features, incremental, kpis, masking, propensity, quality, ranks, silver, staging, star,
+    campaign, features, incremental, kpis, masking, propensity, quality, ranks, rules, silver,
+    staging, star,
 )
 from ..session import materialise, workspace
 from ..sources import files, sinks, warehouse
@@ -379,6 +381,24 @@ def _(lake):
     return incremental.high_water_mark(staged, loaded, "updated_at")
 
 
+@query("inc_order_items")
+def _(lake):
+    """Lines above the largest line id on file."""
+    staged = lake.staged("order_items")
+    loaded = staged.filter("order_id < 1000")
+    return incremental.rows_after(staged, loaded, "order_item_id", ["order_item_id"])
+
+
+@query("inc_click_events")
+def _(lake):
+    """Events after the newest on file, and those of the same instant that are not on file."""
+    staged = lake.staged("clickstream").drop("actions")
+    days = F.to_date("event_timestamp")
+    half = F.date_add(staged.agg(F.min(days)).scalar(), 10)
+    loaded = staged.filter((days < half) | ((days == half) & (F.col("user_id") % 2 == 0)))
+    return incremental.rows_after(staged, loaded, "event_timestamp", ["event_id"])
+
+
 # --- machine learning ----------------------------------------------------------------
 @query("ml_impute")
 def _(lake):
@@ -606,6 +626,34 @@ def _(lake):
     return quality.landing_counts(silver.latest_sessions(staged.drop("actions")), delivered)
 
 
+def declared_tables(lake) -> dict[str, DataFrame]:
+    """Every table with declared rules, with the times that a job stores with it."""
+    tables = {
+        "stg_brands": lake.staged("brands"), "stg_categories": lake.staged("category"),
+        "stg_payment_methods": lake.staged("payment_method"), "stg_customers": lake.staged("customers"),
+        "stg_products": lake.staged("products"), "stg_orders": lake.staged("orders"),
+        "stg_order_items": lake.staged("order_items"), "stg_clickstream_events": lake.staged("clickstream"),
+        "silver_brands": lake.brands, "silver_categories": lake.categories,
+        "silver_payment_methods": lake.payment_methods, "silver_customers": lake.customers,
+        "silver_products": lake.products, "silver_orders": lake.orders, "silver_order_items": lake.order_items,
+        "silver_user_sessions": lake.sessions, "silver_session_actions": lake.actions,
+        "dim_customer": lake.dim_customer, "dim_date": lake.order_days,
+        "dim_payment_method": lake.dim_payment_method, "dim_product": lake.dim_product,
+        "fact_order": lake.fact_order, "fact_order_items": lake.fact_order_items,
+        "user_behavior_3d": lake.behaviour, "campaign": _rule_campaign(lake),
+    }
+    for name, df in tables.items():
+        for c in rules.DECLARED[name].not_null:
+            if c in rules.AUDIT and c not in df.columns:
+                tables[name] = with_audit(tables[name], c)
+    return tables
+
+
+@query("dq_declared_rules")
+def _(lake):
+    return rules.check_all(declared_tables(lake))
+
+
 @query("dq_report")
 def _(lake):
     staged = lake.staged("customers")
