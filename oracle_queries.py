@@ -770,6 +770,8 @@ BODIES: dict[str, str] = {
       FROM stg_clickstream GROUP BY ingest_date""",
     "stream_dedup_sessions": _SESSION_COLUMNS,
 }
+BODIES["table_fact_order"] = BODIES["fact_order"]
+BODIES["table_fact_order_items"] = BODIES["fact_order_items"]
 BODIES["stream_daily_activity"] = BODIES["feat_daily_activity"]
 
 

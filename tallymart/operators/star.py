@@ -200,11 +200,18 @@ def fact_order(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def fact_order_items(
-    items: DataFrame, orders: DataFrame, raw_keys: DataFrame | None = None
+    items: DataFrame, orders: DataFrame, raw_keys: DataFrame | None = None, colocated: bool = False
 ) -> DataFrame:
-    """Order lines with the keys of their order; a hot order is spread over tasks."""
+    """Order lines with the keys of their order; a hot order is spread over tasks.
+
+    ``colocated`` tables, bucketed by order, are joined bucket by bucket with no exchange; lines of
+    one order then stay together.
+    """
     heads = orders.select("order_id", "customer_id", "payment_method_id", "order_date")
-    wide = salted_join(items, heads, ["order_id"], "inner", ["order_item_id"], keys=raw_keys)
+    if colocated:
+        wide = items.join(heads, "order_id")
+    else:
+        wide = salted_join(items, heads, ["order_id"], "inner", ["order_item_id"], keys=raw_keys)
     return wide.select(
         "order_item_id",
         "order_id",

@@ -3,16 +3,18 @@
 import re
 
 import pytest
-from conftest import DATA, plan_of
+from conftest import DATA, plan_of, rows_of
+from pyspark.sql import functions as F
 
-from tallymart.operators import kpis
-from tallymart.plans.catalog import QUERIES, lake_for, surface
+from tallymart.operators import kpis, star
+from tallymart.plans.catalog import QUERIES, bucketed_orders, lake_for, surface
 from tallymart.plans.lakehouse import Lakehouse
 
 WRITES = {  # run jobs while the frame is built
     "src_csv_roundtrip", "src_ndjson_scan", "sink_partitioned_sessions", "compact_partition",
     "zorder_cluster", "campaign_upsert", "ml_scaled_features", "ml_train_lr", "ml_metrics",
     "ml_importance", "ml_batch_score", "ml_model_roundtrip", "ml_rule_auc", "ml_describe",
+    "table_fact_order", "table_fact_order_items",
 }
 LAZY = sorted(n for n in QUERIES if n not in WRITES and not n.startswith(("stream_", "ingest_")))
 
@@ -60,3 +62,19 @@ def test_activity_reads_the_log_once(lake):
 
 def test_rolling_features_have_no_self_join(lake):
     assert "Join" not in plan_of(lake.behaviour)
+
+
+def test_bucketed_tables_join_without_an_exchange(no_broadcast):
+    lake = Lakehouse(no_broadcast, str(DATA))
+    orders, items = bucketed_orders(lake, buckets=4)
+    by_order = plan_of(star.fact_order(orders, items))
+    by_line = plan_of(star.fact_order_items(items, orders, colocated=True))
+    for plan in (by_order, by_line):
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    name = no_broadcast.catalog.listTables()[0].name
+    assert no_broadcast.table(name).count() in (orders.count(), items.count())  # read by name
+    assert rows_of(star.fact_order(orders, items)) == rows_of(lake.fact_order)
+    lines = star.fact_order_items(items, orders, colocated=True)
+    assert rows_of(lines) == rows_of(lake.fact_order_items)
+    files = items.select(F.input_file_name().alias("f")).distinct().count()
+    assert files <= 8, "about a file per bucket"
