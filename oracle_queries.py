@@ -543,6 +543,7 @@ BODIES: dict[str, str] = {
     "src_ndjson_scan": """SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM stg_clickstream""",
     "sink_partitioned_sessions": _SESSION_COLUMNS,
     "compact_partition": _SESSION_COLUMNS,
+    "compact_small_files": _SESSION_COLUMNS,
     "zorder_cluster": _FACT_ORDER,
     "stg_brands": "SELECT * FROM stg_brands",
     "stg_categories": "SELECT * FROM stg_categories",

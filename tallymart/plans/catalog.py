@@ -20,7 +20,7 @@ from ..operators import (
     staging, star,
 )
 from ..session import materialise, workspace
-from ..sources import files, sinks, tables, warehouse
+from ..sources import compaction, files, sinks, tables, warehouse
 from ..streaming import ingest
 from ..streaming.sessions import SessionLog
 from .lakehouse import Lakehouse
@@ -89,6 +89,19 @@ def _(lake):
     return lake.spark.read.schema(lake.sessions.schema).parquet(tidy)
 
 
+@query("compact_small_files")
+def _(lake):
+    """Sessions that came in several loads, their small files merged in place."""
+    path = workspace(lake.spark, "loads")
+    loads = lake.sessions.withColumn("_load", F.pmod(F.xxhash64("session_id"), F.lit(3)))
+    loads = materialise(lake.spark, loads, "loads")
+    for load in range(3):
+        part = loads.filter(F.col("_load") == load).drop("_load")
+        sinks.write_partitioned(part, path, sinks.YMD[:2], mode="append")
+    compaction.compact_small_files(lake.spark, path, sinks.YMD[:2])
+    return lake.spark.read.schema(lake.sessions.schema).parquet(path)
+
+
 @query("zorder_cluster")
 def _(lake):
     fact = materialise(lake.spark, lake.fact_order, "fact-order")

@@ -14,7 +14,7 @@ WRITES = {  # run jobs while the frame is built
     "src_csv_roundtrip", "src_ndjson_scan", "sink_partitioned_sessions", "compact_partition",
     "zorder_cluster", "campaign_upsert", "ml_scaled_features", "ml_train_lr", "ml_metrics",
     "ml_importance", "ml_batch_score", "ml_model_roundtrip", "ml_rule_auc", "ml_describe",
-    "table_fact_order", "table_fact_order_items",
+    "table_fact_order", "table_fact_order_items", "compact_small_files",
 }
 LAZY = sorted(n for n in QUERIES if n not in WRITES and not n.startswith(("stream_", "ingest_")))
 
