@@ -577,6 +577,17 @@ BODIES: dict[str, str] = {
       provider IS NOT DISTINCT FROM old_provider AS is_current FROM later_methods
       UNION ALL SELECT payment_method_id, display_name, provider, type, DATE '2025-07-01', NULL, TRUE
       FROM later_methods WHERE provider IS DISTINCT FROM old_provider""",
+    "scd2_monthly_tier": """WITH monthly AS (
+      SELECT customer_id, CAST(date_trunc('month', order_date) + INTERVAL 1 MONTH AS DATE) AS day, sum(total_amount) AS spent
+      FROM silver_orders GROUP BY ALL),
+      tiers AS (SELECT customer_id, day, CASE WHEN so_far >= 2000000 THEN 'platinum' WHEN so_far >= 1000000 THEN 'gold'
+        WHEN so_far >= 500000 THEN 'silver' ELSE 'bronze' END AS tire
+        FROM (SELECT *, sum(spent) OVER (PARTITION BY customer_id ORDER BY day) AS so_far FROM monthly)),
+      begun AS (SELECT * FROM tiers
+        QUALIFY tire IS DISTINCT FROM lag(tire) OVER (PARTITION BY customer_id ORDER BY day))
+      SELECT customer_id, tire, day AS effective_start_date,
+        lead(day) OVER (PARTITION BY customer_id ORDER BY day) AS effective_end_date,
+        lead(day) OVER (PARTITION BY customer_id ORDER BY day) IS NULL AS is_current FROM begun""",
     "scd2_customer_tier": """SELECT customer_id, old_tire AS tire, address, DATE '2000-01-01' AS effective_start_date,
       CASE WHEN tire <> old_tire THEN DATE '2002-01-01' END AS effective_end_date, tire = old_tire AS is_current
       FROM later_tiers WHERE known

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key
@@ -133,6 +133,73 @@ def scd2_apply(
     return past.unionByName(folded).select(*history.columns)
 
 
+def no_history(snapshots: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """A history without versions, to fold the first snapshots into."""
+    return snapshots.limit(0).select(
+        key, *columns, F.lit(None).cast("date").alias("effective_start_date"),
+        F.lit(None).cast("date").alias("effective_end_date"), F.lit(True).alias("is_current"),
+    )
+
+
+def scd2_fold(
+    history: DataFrame,
+    snapshots: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    day: str,
+    newest: Sequence[str] = (),
+) -> DataFrame:
+    """Fold many dated snapshots into a versioned history at once.
+
+    The result is that of ``scd2_apply`` for every day of ``snapshots`` in turn. Rows and current
+    versions meet once, dealt by key and sorted by day; a version begins where the tracked
+    columns differ from the row before and ends where the next begins. Of a key's rows of one
+    day the first counts, by ``newest`` columns descending and then all others. Rows without
+    key or day are left out.
+    """
+    tracked = list(tracked)
+    own = ["effective_start_date", "effective_end_date", "is_current"]
+    others = [c for c in history.columns if c not in (key, *tracked, *own)]
+    given = [c for c in others if c in snapshots.columns]
+    rest = [c for c in snapshots.columns if c not in (key, day)]
+    nothing = F.lit(None).cast(snapshots.select(F.struct(F.lit(0).alias("_"), *rest)).schema[0].dataType)
+    had = F.struct(F.lit(0).alias("_"), *others)
+    current = history.filter("is_current").select(
+        key, F.struct(*tracked).alias("now"), had.alias("had"), nothing.alias("row"),
+        F.col("effective_start_date").alias("_day"), F.lit(0).alias("_from"),
+    )
+    dated = snapshots.filter(F.col(key).isNotNull() & F.col(day).isNotNull())
+    seen = dated.select(
+        key, F.struct(*tracked).alias("now"), F.lit(None).cast(current.schema["had"].dataType).alias("had"),
+        F.struct(F.lit(0).alias("_"), *rest).alias("row"), F.col(day).cast("date").alias("_day"), F.lit(1).alias("_from"),
+        *[F.col(c).alias(f"_order{k}") for k, c in enumerate(newest)],
+    )
+    order = [F.desc_nulls_last(f"_order{k}") for k in range(len(newest))]
+    # the struct sorts like its columns in turn, nulls first
+    by_day = Window.partitionBy(key).orderBy("_day", "_from", *order, "row")
+    of_key = Window.partitionBy(key)
+    met = current.unionByName(seen, allowMissingColumns=True).repartition(key)
+    first = met.withColumns({"_d": F.lag("_day").over(by_day), "_f": F.lag("_from").over(by_day)}).filter(
+        "_d is null or _d <> _day or _f <> _from"
+    )
+    since = F.max(F.when(F.col("_from") == 0, F.col("_day"))).over(of_key)
+    kept_had = F.first("had", ignorenulls=True).over(of_key)
+    known = first.withColumns({"_since": since, "had": kept_had}).filter("_since is null or _day >= _since")
+    before = F.lag("now").over(by_day)
+    begun = known.withColumn("_before", before).filter("_before is null or not (_before <=> now)")
+    versions = begun.withColumn("_end", F.lead("_day").over(by_day)).filter("_end is null or _end <> _day")
+    fresh = F.col("_from") == 1
+    values = [F.col(f"now.{c}").alias(c) for c in tracked]
+    for c in others:
+        value = F.when(fresh, F.col(f"row.{c}")).otherwise(F.col(f"had.{c}")) if c in given else F.col(f"had.{c}")
+        values.append(value.alias(c))
+    folded = versions.select(
+        key, *values, F.col("_day").alias("effective_start_date"), F.col("_end").alias("effective_end_date"),
+        F.col("_end").isNull().alias("is_current"),
+    )
+    return history.filter("not is_current").unionByName(folded).select(*history.columns)
+
+
 def denormalise(
     fact: DataFrame,
     lookups: Sequence[tuple[DataFrame, str, dict[str, str]]],

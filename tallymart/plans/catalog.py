@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,6 +221,20 @@ def _(lake):
     return star.scd2_apply(history, later, "customer_id", ["tire", "address"], "2002-01-01")
 
 
+@query("scd2_monthly_tier")
+def _(lake):
+    """Tier by all that a customer has spent, from a snapshot on the first of every month with orders."""
+    month = F.add_months(F.trunc("order_date", "month"), 1)
+    monthly = lake.orders.groupBy("customer_id", month.alias("day")).agg(F.sum("total_amount").alias("spent"))
+    so_far = F.sum("spent").over(Window.partitionBy("customer_id").orderBy("day"))
+    tier = (
+        F.when(so_far >= 2_000_000, "platinum").when(so_far >= 1_000_000, "gold")
+        .when(so_far >= 500_000, "silver").otherwise("bronze")
+    )
+    snapshots = monthly.select("customer_id", "day", tier.alias("tire"))
+    return star.scd2_fold(star.no_history(snapshots, "customer_id", ["tire"]), snapshots, "customer_id", ["tire"], "day")
+
+
 # --- features ------------------------------------------------------------------------
 @query("feat_daily_sessions")
 def _(lake):
