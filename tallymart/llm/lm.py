@@ -86,10 +86,12 @@ class Lexicon(NamedTuple):
 
 def lexicon(counts: DataFrame, common: int = COMMON, vocabulary: int = VOCABULARY) -> Lexicon:
     all_words = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    # the end token is always known, however common others are
+    ending = F.col("word") == END_WORD
     level = F.floor(F.log2("c") * 8)  # counts in eighths of a doubling: a few hundred levels
-    levels = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("level")
+    levels = counts.filter(~ending).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("level")
     fits = levels["level"][levels["n"][::-1].cumsum()[::-1] <= common]
-    top = counts.filter(level >= int(fits.min())) if len(fits) else counts.limit(0)
+    top = counts.filter(ending | (level >= int(fits.min()))) if len(fits) else counts.filter(ending)
     top = top.toPandas().sort_values(["c", "word"], ascending=[False, True])
     word, count = top["word"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     ids = np.full(len(word), OTHER, np.int64)
