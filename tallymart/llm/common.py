@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialise
 
@@ -22,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def arrow_batches(df: DataFrame, func, schema: str) -> DataFrame:
+def arrow_batches(df: DataFrame, func, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow(func, schema)`` over batches of a bounded number of rows and bytes."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_RECORDS)
@@ -42,6 +45,26 @@ def lookup(
     return df.join(small, on, how)
 
 
+def named(column: str):
+    """The column of exactly this name, dots and back quotes included."""
+    quoted = column.replace("`", "``")
+    return F.col(f"`{quoted}`")
+
+
+def sheltered(docs: DataFrame, own: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step(docs)``, where columns outside ``own`` have names that no operator uses; they come back after."""
+    safe = {c: f"other_column_{k}" for k, c in enumerate(docs.columns) if c not in own}
+    out = step(docs.select(*[named(c).alias(safe.get(c, c)) for c in docs.columns]))
+    back = {new: old for old, new in safe.items()}
+    return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns])
+
+
+def sort_key(docs: DataFrame, column: str):
+    """The column as something Spark can sort by: maps, alone or inside, as JSON."""
+    kind = docs.schema[column].dataType.simpleString()
+    return F.to_json(F.struct(named(column))) if "map<" in kind or "variant" in kind else named(column)
+
+
 def crc32_id(column: str = "doc_id"):
     """crc32 of an id written as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

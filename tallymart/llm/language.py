@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, crc32_id
+from .common import arrow_batches, crc32_id, sheltered
 
 BUCKETS, SAMPLE, SMOOTH = 1 << 14, 4000, 0.5
 #: Cost of changing the language between two words; and for a word outside the scripts.
@@ -279,9 +279,13 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is known.
 
     Left out are texts without letters, and mixed texts where no language labels more
-    than ``LEAST_SCORE`` of the words. With a model of no language, all rows stay.
+    than ``LEAST_SCORE`` of the words. With a model of no language, all rows stay. Null and
+    empty texts have no letters; repeated rows stay or go together. Other columns may have any name.
     """
+    return sheltered(docs, ["text"], lambda rows: _accepted(rows, model))
 
+
+def _accepted(docs: DataFrame, model: Model) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
@@ -290,7 +294,6 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
                 keep = [not model.languages or (x[0] != UNKNOWN and x[1] > LEAST_SCORE) for x in found]
                 yield piece.filter(pa.array(keep, pa.bool_()))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_batches(docs, judge, schema)
+    return arrow_batches(docs, judge, docs.schema)
 
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup, stored
+from .common import lookup, sheltered, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, CAP, SEED = (5, 2, 1), 1.5, 2, "mix"
@@ -89,14 +89,22 @@ def mixture_table(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, each row as often as the mix takes it (copy: 1, 2)."""
+    """All columns of ``docs``, each row as often as the mix takes it (copy: 1, 2).
+
+    A null source is a source; a null or empty text has no words, and a source without words
+    is not taken. Repeated rows draw the same coin. A column ``copy`` of ``docs`` gives way to the
+    new one; others may have any name. An empty table stays empty.
+    """
+    return sheltered(docs, ["doc_id", "text", "source", "copy"], _mix)
+
+
+def _mix(docs: DataFrame) -> DataFrame:
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     targets = stored(source_targets(sizes), "targets").select("source", "source_size", "target")
-    names = docs.columns
     inner = {"source_size": "_size", "target": "_target"}
-    named = targets.withColumnsRenamed({"source": "_of"} | inner)
-    joined = lookup(docs.withColumn("_coin", coin()), named, F.col("source").eqNullSafe(F.col("_of")))
+    known = targets.withColumnsRenamed({"source": "_of"} | inner)
+    joined = lookup(docs.withColumn("_coin", coin()), known, F.col("source").eqNullSafe(F.col("_of")))
     rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(F.lit(0.0))
     copy = F.explode(F.sequence(F.lit(1), copies(rate, F.col("_coin")))).alias("copy")
     taken = joined.filter(copies(rate, F.col("_coin")) >= 1)
-    return taken.select(*[F.col(f"`{c}`") for c in names if c != "copy"], copy)
+    return taken.select(*[c for c in docs.columns if c != "copy"], copy)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import arrow_batches, lookup, stored
+from .common import arrow_batches, lookup, sheltered, sort_key, stored
 
 SHINGLE, COORDINATES, MATCHES, PERCENT = 5, 56, 31, 75
 #: Leaders per list in the rounds of pairs; then blocks. BYTE_MATCHES of BYTES: 577 expected
@@ -320,8 +320,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group of near-duplicates.
 
-    Of rows that repeat both doc_id and text, the first by the remaining columns stays.
+    Of rows that repeat both doc_id and text, the first by the remaining columns stays. Rows
+    without words (null and empty texts among them) or without doc_id all stay; an empty table stays
+    empty. Other columns may have any name and type.
     """
+    return sheltered(docs, ["doc_id", "text"], _without_duplicates)
+
+
+def _without_duplicates(docs: DataFrame) -> DataFrame:
     found = stored(judged(docs), "judged")
     key = ["doc_id", "_text_hash"]
     found = found.withColumnRenamed("text_hash", "_text_hash")
@@ -330,9 +336,9 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     again = found.filter("kept and doc_id is not null and n_shingles > 0").groupBy(*key).count()
     again = stored(again.filter("count > 1").select(*key), "repeated")
     if not again.isEmpty():
-        others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+        others = [sort_key(docs, c) for c in docs.columns if c not in ("doc_id", "text")]
         rank = F.row_number().over(Window.partitionBy(*key).orderBy(*(others or [F.lit(0)])))
         first = lookup(rows, again, key, "left_semi", CANDIDATE_ROWS).withColumn("_rank", rank)
         rest = lookup(rows, again, key, "left_anti", CANDIDATE_ROWS)
         rows = rest.unionByName(first.filter("_rank = 1").drop("_rank"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*docs.columns)

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sheltered, stored
 
 # --- fixed values: patterns of the base kinds ---
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -309,8 +309,14 @@ def redact(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``; secrets in the text are marked, n_chars follows if present.
 
     The rows are stored with what was found in them: the patterns run once, and the
-    thresholds need all candidates before any text is changed.
+    thresholds need all candidates before any text is changed. Null and empty texts, and texts
+    without secrets, stay as they are; repeated rows are changed alike; an empty table stays
+    empty. Texts are searched whole, whatever their length. Other columns may have any name and nulls.
     """
+    return sheltered(docs, ["doc_id", "text", "n_chars"], _redact)
+
+
+def _redact(docs: DataFrame) -> DataFrame:
     names = docs.columns
     scanned = stored(scan(docs), "scanned")
     rows = with_spans(scanned, discovery_steps(scanned))
@@ -318,4 +324,4 @@ def redact(docs: DataFrame) -> DataFrame:
     if "n_chars" in names:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(F.size("_spans") > 0, changed).otherwise(F.col("n_chars")))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    return rows.select(*names)
