@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import TOTAL
 
@@ -55,26 +56,36 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return keys.join(known, "value", "left_anti")
 
 
+def _comparable(df: DataFrame, key: str, other: DataFrame, other_key: str) -> Column:
+    """The key as text that is equal wherever the two columns' values are: numbers by value, whatever their types."""
+    kinds = [df.schema[key].dataType, other.schema[other_key].dataType]
+    if kinds[0] == kinds[1] or not all(isinstance(k, T.NumericType) for k in kinds):
+        return F.col(key).cast("string")
+    if any(isinstance(k, T.FractionalType) and not isinstance(k, T.DecimalType) for k in kinds):
+        return F.col(key).cast("double").cast("string")
+    return F.col(key).cast("decimal(38,10)").cast("string")
+
+
 def relationship_counts(
     relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]],
 ) -> DataFrame:
     """Rows checked and orphaned per declared relation: (label, child, fk, parent, pk).
 
     All foreign keys of a child are read in one pass over it, and each parent once;
-    keys are combined per (relation, value) before a single join.
+    keys are combined per (relation, value) before a single join. Keys of different number
+    types are compared by value.
     """
     children: dict[int, tuple[DataFrame, list[Column]]] = {}
     parents: dict[tuple[int, str], tuple[DataFrame, list[Column]]] = {}
     for label, child, fk, parent, pk in relations:
-        pair = F.struct(F.lit(label).alias("relation"), F.col(fk).cast("string").alias("value"))
+        value, known = _comparable(child, fk, parent, pk), _comparable(parent, pk, child, fk)
+        pair = F.struct(F.lit(label).alias("relation"), value.alias("value"))
         children.setdefault(id(child), (child, []))[1].append(pair)
-        parents.setdefault((id(parent), pk), (parent, []))[1].append(F.lit(label))
+        pair = F.struct(F.lit(label).alias("relation"), known.alias("value"))
+        parents.setdefault((id(parent), pk), (parent, []))[1].append(pair)
 
     found = [df.select(F.inline(F.array(*pairs))) for df, pairs in children.values()]
-    known = [
-        df.select(F.explode(F.array(*labels)).alias("relation"), F.col(pk).cast("string").alias("value"))
-        for (_, pk), (df, labels) in parents.items()
-    ]
+    known = [df.select(F.inline(F.array(*pairs))) for df, pairs in parents.values()]
     keys = (
         reduce(DataFrame.unionByName, found)
         .filter("value is not null")

@@ -3,7 +3,7 @@
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
-from tallymart.operators import kpis, star
+from tallymart.operators import kpis, quality, star
 from tallymart.plans.catalog import lake_for
 from tallymart.plans.lakehouse import Lakehouse
 from tallymart.sources import files, sinks
@@ -85,3 +85,11 @@ def test_compaction_honours_its_target(spark, tmp_path):
     small = str(tmp_path / "small")
     sinks.compact(spark, loose, small, target_mb=1)
     assert sinks.table_size(spark.read.parquet(small)).first()["files"] >= 4
+
+
+def test_keys_of_different_number_types_are_compared_by_value(spark):
+    child = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 9.0), (None, None)], "i bigint, d double")
+    parent = spark.sql("select cast(id as decimal(10,2)) as p, cast(id as int) as q from range(1, 3)")
+    found = quality.relationship_counts([("by decimal", child, "i", parent, "p"), ("by double", child, "d", parent, "q"),
+                                         ("same", child, "i", parent, "q")])
+    assert rows_of(found) == [("by decimal", 3, 1), ("by double", 3, 1), ("same", 3, 1)]
