@@ -23,6 +23,7 @@ gathered.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,10 +53,41 @@ PROSE = {"hex": (0.1, 0.01)}
 PROSE_LETTERS = (0.0667, 0.0054)
 FIT, Q, PER_DECADE, DEEPEST = 0.001, 0.01, 10, 400
 MARK = "[SECRET]"
+#: Places run through at a time, and code points of the pieces a long text is cut into.
+BLOCK, PIECE = 256, 1024
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value being computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], start: int) -> Column:
+    """What ``merge`` makes of all integers before each place; one more at the end, of all of them.
+
+    ``start`` is the neutral element. An array grows by copying, so blocks of ``BLOCK`` are run
+    through one by one and then merged with what the blocks before them came to: the time
+    grows with the length, not with its square.
+    """
+    extended = lambda done, x: F.concat(done, F.array(merge(F.element_at(done, -1), x)))
+    through = lambda xs: F.aggregate(xs, F.array(F.lit(start)), extended)
+    last = lambda xs: F.greatest(F.floor((F.size(xs) - 1) / BLOCK).cast("int"), F.lit(0))
+    blocks = lambda xs: F.transform(
+        F.sequence(F.lit(0), last(xs)), lambda k: through(F.slice(xs, k * BLOCK + 1, BLOCK))
+    )
+
+    def joined(done: Column) -> Column:
+        before = through(F.transform(done, lambda xs: F.element_at(xs, -1)))
+        moved = lambda so_far: F.transform(
+            done, lambda xs, k: F.transform(F.slice(xs, 1, F.size(xs) - 1), lambda x: merge(F.get(so_far, k), x))
+        )
+        return let(before, lambda so_far: F.concat(F.flatten(moved(so_far)), F.array(F.element_at(so_far, -1))))
+
+    return let(values, lambda xs: let(blocks(xs), joined))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, value>> of the leftmost non-overlapping matches, in code points.
 
@@ -68,14 +100,15 @@ def matches(text: Column, pattern: str) -> Column:
         lambda piece, value: F.struct(F.length(piece).alias("gap"), value.alias("value")),
     )
     rows = F.filter(rows, lambda x: x["value"].isNotNull())
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,value:string>>) as found)")
 
-    def step(state, x):
-        start = state["at"] + x["gap"]
-        one = F.array(F.struct(start.alias("start"), x["value"].alias("value")))
-        return F.struct((start + F.length(x["value"])).alias("at"), F.concat(state["found"], one).alias("found"))
+    def placed(found: Column) -> Column:
+        taken = F.transform(found, lambda x: x["gap"] + F.length(x["value"]))
+        at = lambda before: F.transform(
+            found, lambda x, k: F.struct((F.get(before, k) + x["gap"]).alias("start"), x["value"].alias("value"))
+        )
+        return let(running(taken, lambda x, y: x + y, 0), at)
 
-    found = F.aggregate(rows, empty, step, lambda state: state["found"])
+    found = let(rows, placed)
     return F.when(text.rlike(pattern), found).otherwise(F.expr("cast(array() as array<struct<start:int,value:string>>)"))
 
 
@@ -207,6 +240,39 @@ def _unmixed(found: Column) -> Column:
     return F.flatten(F.transform(found, parts))
 
 
+def _apart(found: Column, base: Column) -> Column:
+    """Those structs (start, end, value) of ``found`` that overlap no span of ``base``, by start.
+
+    With both sorted by start, a span overlaps one before it that ends behind its start, or one
+    after it that starts before its end.
+    """
+    far = 2**31 - 1
+    mark = lambda of_base, value: lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), F.lit(of_base).alias("of_base"), value(x).alias("value")
+    )
+    both = F.concat(
+        F.transform(base, mark(True, lambda x: F.lit(None).cast("string"))),
+        F.transform(found, mark(False, lambda x: x["value"])),
+    )
+
+    def kept(marks: Column) -> Column:
+        ends = F.transform(marks, lambda x: F.when(x["of_base"], x["end"]).otherwise(0))
+        starts = F.transform(F.reverse(marks), lambda x: F.when(x["of_base"], x["start"]).otherwise(far))
+        alone = lambda before, after: F.filter(
+            marks,
+            lambda x, k: ~x["of_base"]
+            & (F.get(before, k) <= x["start"])
+            & (F.get(after, F.size(marks) - 1 - k) >= x["end"]),
+        )
+        return let(
+            running(ends, F.greatest, 0),
+            lambda before: let(running(starts, F.least, far), lambda after: alone(before, after)),
+        )
+
+    free = F.transform(let(F.sort_array(both), kept), lambda x: F.struct(x["start"], x["end"], x["value"]))
+    return F.when((F.size(base) == 0) | (F.size(found) == 0), found).otherwise(free)
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with _base (spans of the base kinds) and _candidates (spans and their tests).
 
@@ -214,13 +280,14 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     content = F.coalesce(F.col(text), F.lit(""))
     based = docs.withColumn("_base", base_spans(content)).withColumn("_found", matches(content, CANDIDATE))
-    apart = lambda start, end: ~F.exists("_base", lambda b: (b["start"] < end) & (start < b["end"]))
     named = F.transform(
         _unmixed(F.col("_found")),
         lambda x: F.struct(x["start"].alias("start"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value")),
     )
-    free = F.filter(named, lambda x: apart(x["start"], x["end"]))
-    return based.withColumn("_candidates", battery(free)).drop("_found")
+    free = let(named, lambda found: _apart(found, F.col("_base")))
+    # one by one, so that a text of many candidates holds the working arrays of one at a time
+    tested = F.flatten(F.transform(free, lambda x: battery(F.array(x))))
+    return based.withColumn("_candidates", tested).drop("_found")
 
 
 def _stratum(test: Column) -> Column:
@@ -258,11 +325,17 @@ def with_spans(scanned: DataFrame, steps: dict[str, int]) -> DataFrame:
         "_candidates",
         lambda x: (x["fit"] >= FIT) & (_step(x["prose"]) >= F.element_at(least, _stratum(x))),
     )
-    spans = F.transform(good, lambda x: F.struct(x["start"], F.lit(KINDS.index("random")).alias("kind"), x["end"])).cast(SPAN)
-    rows = scanned.withColumn("_random", spans)
-    within = lambda x, y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (x != y)
-    outer = F.filter("_random", lambda x: ~F.exists("_random", lambda y: within(x, y)))
-    return rows.withColumn("_spans", F.sort_array(F.concat("_base", outer))).drop("_random")
+    # by start, the longer first: whatever holds a span stands before it
+    ordered = F.sort_array(F.transform(good, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"))))
+
+    def outer(spans: Column) -> Column:
+        ends = running(F.transform(spans, lambda x: -x["back"]), F.greatest, 0)
+        return let(ends, lambda before: F.filter(spans, lambda x, k: F.get(before, k) < -x["back"]))
+
+    random = F.transform(
+        let(ordered, outer), lambda x: F.struct(x["start"], F.lit(KINDS.index("random")).alias("kind"), -x["back"])
+    )
+    return scanned.withColumn("_spans", F.sort_array(F.concat("_base", random.cast(SPAN))))
 
 
 def span_text(spans: Column) -> Column:
@@ -290,19 +363,29 @@ def secret_table(docs: DataFrame) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with every stretch covered by ``spans`` (sorted by start) replaced by a mark."""
-    empty = F.expr("struct(0 as at, '' as out)")
-
-    def step(state, s):
-        new = s["start"] >= state["at"]
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(new, F.concat(state["out"], before, F.lit(MARK))).otherwise(state["out"]).alias("out"),
+    """``text`` with every stretch covered by ``spans`` (sorted by start) replaced by a mark.
+
+    The text is cut into pieces first, so that a stretch is found without counting from the start.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def cut(cuts: Column, at: Column, to: Column) -> Column:
+        first = F.floor(at / PIECE).cast("int")
+        near = F.array_join(F.slice(cuts, first + 1, F.floor(to / PIECE).cast("int") - first + 1), "")
+        return F.substring(near, at % PIECE + 1, to - at)
+
+    def out(cuts: Column, before: Column) -> Column:
+        parts = F.transform(
+            spans,
+            lambda s, k: F.when(
+                s["start"] >= F.get(before, k), F.concat(cut(cuts, F.get(before, k), s["start"]), F.lit(MARK))
+            ).otherwise(""),
         )
+        return F.concat(F.array_join(parts, ""), cut(cuts, F.element_at(before, -1), F.length(text)))
 
-    rest = lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, empty, step, rest)).otherwise(text)
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest, 0)
+    whole = let(pieces, lambda cuts: let(ends, lambda before: out(cuts, before)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
