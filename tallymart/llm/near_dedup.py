@@ -15,9 +15,11 @@ falls short with probability 3e-4, one at 0.8 with 2e-6).
   with the members behind it that are not yet in its component. Lists whose remaining
   members are all in one component are done. That settles groups of near copies. What
   still mixes components are lists of texts that are alike, but not enough. Their members
-  are compared in blocks of ``BLOCK``, two blocks to a task, by 768 one-byte minimum hashes;
-  only pairs that agree on ``BYTE_MATCHES`` leave the task. Every pair of a list is thus
-  compared or already known to be connected, and no cap is needed.
+  are dealt by set size into bands of a factor 4/3, of which only neighbours can match, and
+  within a band by hash into blocks of about ``BLOCK``. Two blocks at a time are compared by 768
+  one-byte minimum hashes; only pairs that agree on ``BYTE_MATCHES`` leave the task. Every pair
+  of a list is thus compared, too different in size, or already known to be connected, and no
+  cap is needed. A list is never numbered as a whole: only its leaders are ranked.
 * **Confirmation** counts intersection and union of the full shingle sets.
 """
 
@@ -95,7 +97,10 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(token, cls, rank): prefix postings on shared coordinate pairs, most shared class first."""
+    """(token, cls, rank): prefix postings on shared coordinate pairs, most shared class first.
+
+    Only the leaders of a list are ranked, one after another; all others have the rank behind them.
+    """
     tokens = classes.select("cls", F.posexplode("signature")).select(
         "cls", F.xxhash64("pos", "col").alias("token")
     )
@@ -109,8 +114,13 @@ def postings(classes: DataFrame) -> DataFrame:
     prefix = ordered.select(
         "cls", "weight", F.explode(F.slice("t", 1, F.size("t") - (MATCHES - 1))).alias("p")
     ).select("cls", "weight", "p.token")
+    prefix = stored(prefix, "prefix")
     by_list = Window.partitionBy("token").orderBy(F.desc("weight"), "cls")
-    return prefix.select("token", "cls", F.row_number().over(by_list).alias("rank"))
+    # a limit per list is applied in every task before the shuffle
+    leaders = prefix.withColumn("rank", F.row_number().over(by_list)).filter(F.col("rank") <= sum(LEADERS))
+    leaders = stored(leaders.select("token", "cls", "rank"), "leaders")
+    ranked = prefix.select("token", "cls").join(leaders, ["token", "cls"], "left")
+    return ranked.withColumn("rank", F.coalesce("rank", F.lit(sum(LEADERS) + 1)))
 
 
 def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,18 +150,19 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreeing(table: pa.Table) -> pa.Table:
-    """Pairs of two blocks (side 0 and 1; or of one block) that agree on enough bytes.
+    """Pairs of two blocks (side 0 and 1; or of one block, side 0) that agree on enough bytes.
 
     Two texts may meet in many lists; a pair is given in the least list of both only.
     """
     here = table.column("token")[0].as_py() if len(table) else None
+    alone = len(table) and table.column("first")[0] == table.column("second")[0]
     lists = [set(x) for x in table.column("lists").to_pylist()]
     side, cls, comp, n = (table.column(c).to_numpy() for c in ("side", "cls", "comp", "n"))
     bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(-1, BYTES)
     other = np.flatnonzero(side == 1)
     pairs = []
     for k in np.flatnonzero(side == 0):
-        against = other if len(other) else np.arange(k + 1, len(cls))
+        against = np.arange(k + 1, len(cls)) if alone else other
         fits = (comp[against] != comp[k]) & (100 * np.minimum(n[against], n[k]) >= PERCENT * np.maximum(n[against], n[k]))
         against = against[fits]
         agree = (bits[against] == bits[k]).sum(axis=1)
@@ -205,22 +216,43 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def block_pairs(posted: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components within each list, compared block against block."""
-    lists = posted.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
-    block = ((F.col("rank") - F.col("low")) / BLOCK).cast("int")
-    last = ((F.col("high") - F.col("low")) / BLOCK).cast("int")
+    """Pairs (a, b) of different components within each list, compared block against block.
+
+    A block is a part, by hash, of a list's members of one band of sizes; it meets the blocks of
+    its own band and of the next one.
+    """
+    # sets of one band or of neighbours: with n <= m < 4/3 n they are at most one band apart
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+    posted = posted.withColumn("band", band)
+    count = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+    bands = posted.groupBy("token", "band").agg(count.alias("blocks"))
+    bands = bands.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("bands"))
+    blocks = lambda of: F.coalesce(F.try_element_at("bands", of), F.lit(0))
+    numbers = lambda of: F.filter(F.sequence(F.lit(0), blocks(of)), lambda k: k < blocks(of))
+    block = lambda of, k: F.struct(of.alias("band"), k.alias("block"))
+    own, up, down = F.col("band"), F.col("band") + 1, F.col("band") - 1
+    mine = block(own, F.col("own"))
+    meeting = lambda first, second, side: F.struct(
+        first.alias("first"), second.alias("second"), side.cast("int").alias("side")
+    )
+    meetings = F.concat(
+        F.transform(
+            numbers(own),
+            lambda k: meeting(block(own, F.least(k, "own")), block(own, F.greatest(k, "own")), F.col("own") > k),
+        ),
+        F.transform(numbers(up), lambda k: meeting(mine, block(up, k), F.lit(0))),
+        F.transform(numbers(down), lambda k: meeting(block(down, k), mine, F.lit(1))),
+    )
     carried = posted.groupBy("cls").agg(F.collect_list("token").alias("lists"))  # of one text, so few
     carried = profiles.select("cls", "bits").join(carried, "cls")
     dealt = (
-        posted.join(lists, "token")
-        .select("token", "cls", "comp", "n", block.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
-        .select(
-            "token", "cls", "comp", "n", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
-        )
+        posted.join(bands, "token")
+        .withColumn("own", F.pmod(F.xxhash64("cls"), blocks(own)).cast("int"))
+        .select("token", "cls", "comp", "n", F.explode(meetings).alias("m"))
+        .select("token", "cls", "comp", "n", "m.*")
         .join(carried, "cls")
     )
-    return dealt.groupBy("token", "i", "j").applyInArrow(_agreeing, "a bigint, b bigint")
+    return dealt.groupBy("token", "first", "second").applyInArrow(_agreeing, "a bigint, b bigint")
 
 
 def linked_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
