@@ -10,12 +10,13 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymart.llm import (
-    chat, decontaminate, gru, html_text, language, licenses, lm, mixing, near_dedup, quality, queries, secrets,
+    chat, decontaminate, gru, html_text, language, licenses, lm, mixing, near_dedup, quality, queries, secrets, words,
 )
 
 DATA = Path("/root/testdata/sf0.001")
@@ -230,6 +231,32 @@ def test_benchmark_passages_are_found(spark, docs):
     assert decontaminate.leaks(docs, nothing).count() == 0
 
 
+def test_latent_map_is_fitted_on_all_documents(spark, monkeypatch):
+    draw = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(40)]  # fewer than directions, so that the values are exact
+    texts = [" ".join(draw.choices(vocabulary, k=draw.randrange(40))) for _ in range(12_000)] + [None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    idf, *total = decontaminate.inverse_frequencies(frame)
+    latent = decontaminate.latent_map(frame, idf, *total)
+    hashed = lambda t: [int(h >> np.uint64(20)) % decontaminate.FEATURES for h in words.words(*words.utf8(pa.array([t])), lower=True).hash]
+    place = {f: k for k, f in enumerate(sorted({hashed(w)[0] for w in vocabulary}))}
+    exact = np.zeros((len(place), len(place)))
+    for text in texts:
+        own = hashed(text or "")
+        for at in range(0, len(own), 16):
+            row = np.zeros(len(place))
+            for f in own[at : at + 16]:
+                row[place[f]] += idf[f]
+            exact += np.outer(row, row) / (idf[own[at : at + 16]] ** 2).sum()
+    value = 1 / np.linalg.norm(latent / idf[:, None], axis=0)[: len(place)] ** 2
+    assert np.allclose(value, np.linalg.eigvalsh(exact)[::-1], rtol=1e-3)
+    # several tasks, and one for more words than all
+    for size in (1000, 1 << 40):
+        monkeypatch.setattr(decontaminate, "PRODUCT_WORDS", size)
+        again = decontaminate.latent_map(frame, idf, *total)
+        assert np.allclose(again @ again.T, latent @ latent.T, atol=1e-3 * np.abs(latent @ latent.T).max())
+
+
 def test_parts_of_long_items_are_found(spark):
     frame = spark.read.parquet(str(DATA / "documents.parquet")).select("doc_id", "text")
     hosts = [r.text.split() for r in frame.orderBy("doc_id").collect() if len((r.text or "").split()) > 60][:120]
