@@ -15,6 +15,7 @@ import json
 import sys
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyarrow import fs
@@ -90,15 +91,17 @@ def compact_small_files(
     aside = f"{path.rstrip('/')}/_compaction/{run}"
     bins.write.parquet(f"{aside}/bins")
     bins = spark.read.schema(_BINS).parquet(f"{aside}/bins")
-    count = bins.select("bin").distinct().count()
-    if not count:
+    names = sorted(r["bin"] for r in bins.select("bin").distinct().toLocalIterator())
+    if not names:
         return 0
+    numbered = bins.join(F.broadcast(spark.createDataFrame(list(enumerate(names)), "_task int, bin string")), "bin")
     rows = chosen.withColumn("_file", F.col("_metadata.file_path")).join(
-        bins.withColumnsRenamed({"file": "_file", "bin": "_bin"}), "_file"
+        numbered.withColumnsRenamed({"file": "_file", "bin": "_bin"}), "_file"
     )
-    # a bin's rows meet in one task, which writes its one file; a bin is about a target in size
-    dealt = rows.drop("_file").repartition(count, "_bin")
-    dealt.write.partitionBy(*by, "_bin").parquet(f"{aside}/new")
+    # a bin's rows meet in a task of their own, which writes them to its one file as they come
+    dealt = rows.repartitionById(len(names), F.col("_task")).drop("_file", "_task")
+    with _unsorted(spark):
+        dealt.write.partitionBy(*by, "_bin").parquet(f"{aside}/new")
     old = [r["file"] for r in bins.select("file").toLocalIterator()]
     system, at = fs.FileSystem.from_uri(aside)
     staged = system.get_file_info(fs.FileSelector(f"{at}/new", recursive=True))
@@ -108,6 +111,18 @@ def compact_small_files(
     return len(old)
 
 
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """A task that writes a single folder does not sort its rows by folder, which would hold a whole bin in memory."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _root(path: str) -> tuple[fs.FileSystem, str]:
     system, at = fs.FileSystem.from_uri(path)
     return system, at.rstrip("/")

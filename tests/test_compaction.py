@@ -73,6 +73,18 @@ def test_where_limits_the_folders(spark, tmp_path):
     assert {n for n in before if n.startswith("part=b")} <= files(path).keys() and len(files(path)) == 3
 
 
+def test_every_bin_has_a_task_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "table")
+    table(spark, path, [(f"p{k % 12:02}", 4_000) for k in range(24)])
+    rows = rows_of(spark.read.parquet(path).select("id", "part"))
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    assert compaction.compact_small_files(spark, path, BY, 1) == 24
+    tasks = [name.split("-part-")[1].split("-")[0] for name in files(path)]
+    assert len(tasks) == len(set(tasks)) == 12
+    assert rows_of(spark.read.parquet(path).select("id", "part")) == rows and spark.conf.get(key, None) == before
+
+
 @pytest.mark.parametrize("lost", ["before the journal", "before the moves", "between", "before the journal goes"])
 def test_a_lost_run_is_undone_or_completed(spark, tmp_path, monkeypatch, lost):
     path = str(tmp_path / "table")
