@@ -49,6 +49,24 @@ def test_eight_shuffled_files_equal_the_batch(spark, tmp_path, shuffled, latenes
     assert (facts[2] > 0) == (lateness == "2 days")
 
 
+def test_a_day_gets_few_files_however_many_state_partitions(spark, tmp_path):
+    source, root = str(tmp_path / "src"), str(tmp_path / "log")
+    rows = [(str(k), f"s-{k}", k, f"2024-01-{1 + k % 2:02} 10:00:00", 5) for k in range(120)]
+    record(spark, source, *rows, ("last", "last", 1, "2024-02-01 10:00:00", None))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        log = SessionLog(spark, files.stream_clickstream(spark, source), root)
+        _finish(log.land())
+        _finish(log.close())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    folders = [os.path.dirname(f) for f in parts(root + "/sessions") if "event_date=2024-01" in f]
+    assert len(set(folders)) == 2 and max(map(folders.count, folders)) <= 8
+    batch = silver.latest_sessions(staging.stage_clickstream(files.read_clickstream(spark, source)))
+    assert rows_of(log.sessions().select(*batch.columns)) == rows_of(batch)
+
+
 def record(spark, path, *records):
     rows = [(e, s, u, t, [{"type": "view", "time_offset": o}] if o is not None else None) for e, s, u, t, o in records]
     df = spark.createDataFrame(rows, "event_id string, session_id string, user_id long, timestamp string, "
