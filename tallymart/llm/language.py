@@ -6,8 +6,8 @@ languages; among those its score is the sum of its trigrams' log-probabilities.
 with a penalty per change of language labels the words, so mixed texts fall into spans.
 
 Trigrams are hashed into ``BUCKETS`` per language: the model has a fixed size for a
-number of languages. It is fitted on a bounded sample of the labelled rows, about
-``SAMPLE`` documents per language chosen by a hash of doc_id.
+number of languages. It is fitted on all labelled rows: tasks count equal words of a batch
+together, and Spark sums their trigrams.
 
 A word is what white space leaves between, without all that is no letter. Of scripts that
 put no spaces, or of any longer run, pieces of ``WORD_LIMIT`` letters count as the words.
@@ -16,6 +16,7 @@ put no spaces, or of any longer run, pieces of ``WORD_LIMIT`` letters count as t
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, crc32_id, sheltered
 
-BUCKETS, SAMPLE, SMOOTH = 1 << 14, 4000, 0.5
+BUCKETS, SMOOTH = 1 << 14, 0.5
+#: Different tokens a task holds before it counts their trigrams, and tokens between two looks at that.
+REMEMBER, TOKENS = 100_000, 50_000
 #: Cost of changing the language between two words; and for a word outside the scripts.
 SWITCH, FOREIGN, WORD_LIMIT = 12.0, 40.0, 64
 #: A script is one of a language's if it has this share of its letters.
@@ -81,16 +84,42 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key[inside], first, scripts
 
 
+def _add(total: np.ndarray, words: Counter[str]) -> None:
+    """Add the trigrams and scripts of counted words to a language's total."""
+    kinds, times = list(words), np.array(list(words.values()), np.int64)
+    for at in range(0, len(kinds), TOKENS):
+        n = times[at : at + TOKENS]
+        key, first, scripts = features(kinds[at : at + TOKENS])
+        total[:BUCKETS] += np.bincount(key, np.repeat(n, np.diff(first, append=len(key))), BUCKETS).astype(np.int64)
+        total[BUCKETS:] += n @ scripts
+
+
+def _counted(tokens: Counter[str]) -> Counter[str]:
+    """The words of counted tokens."""
+    words: Counter[str] = Counter()
+    for token, n in tokens.items():
+        for word in words_of(token):
+            words[word] += n
+    return words
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
+    held: dict[str, Counter[str]] = {}
+
+    def release() -> None:
+        for lang, tokens in held.items():
+            _add(counts.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64)), _counted(tokens))
+        held.clear()
+
     for batch in batches:
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            total = counts.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-            words = [w for token in text.split() for w in words_of(token)]
-            for at in range(0, len(words), 50_000):
-                key, _, scripts = features(words[at : at + 50_000])
-                total[:BUCKETS] += np.bincount(key, minlength=BUCKETS)
-                total[BUCKETS:] += scripts.sum(axis=0)
+            tokens = text.split()
+            for at in range(0, len(tokens), TOKENS):
+                held.setdefault(lang, Counter()).update(tokens[at : at + TOKENS])
+                if sum(map(len, held.values())) > REMEMBER:
+                    release()
+        release()
     for lang, total in counts.items():
         at = np.flatnonzero(total)
         names = pa.array([lang] * len(at), pa.string())
@@ -104,22 +133,15 @@ class Model:
         self.languages, self.scores, self.allowed = languages, scores, allowed
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the rows with a text and a lang. Without any, the model knows no language."""
-    rows = labelled.filter("text is not null and lang is not null").select(
-        F.col("lang").cast("string").alias("lang"), "doc_id", "text"
-    )
-    sizes = rows.groupBy("lang").count().collect()  # one row per language
-    if not sizes:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
-    # expected to take ``sample`` documents of each language with more than that
-    chance = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000))
-    wanted = F.lit(False)
-    for row in sizes:
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (chance < int(1e6 * min(1.0, sample / row["count"])) + 1))
-    found = arrow_batches(rows.filter(wanted).select("lang", "text"), _gather, "lang string, bucket bigint, n bigint")
+def fit(labelled: DataFrame) -> Model:
+    """Learn from all rows with a text and a lang. Without any, the model knows no language."""
+    rows = labelled.filter("text is not null and lang is not null").select(F.col("lang").cast("string").alias("lang"), "text")
+    found = arrow_batches(rows, _gather, "lang string, bucket bigint, n bigint")
     total = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages x buckets at most
-    languages = sorted(total["lang"].unique()) or sorted(row["lang"] for row in sizes)
+    # without a letter anywhere, the languages' names; one row per language
+    languages = sorted(total["lang"].unique()) or sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    if not languages:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
     counts = np.zeros((BUCKETS + len(SCRIPTS), len(languages)))
     counts[total["bucket"], [languages.index(x) for x in total["lang"]]] = total["n"]
     grams = counts[:BUCKETS] + SMOOTH

@@ -175,6 +175,29 @@ def test_mixed_text_falls_into_spans(spark):
     assert [s[0] for s in spans][:2] == ["en", "de"] and abs(spans[0][2] - 60) <= 8
 
 
+def test_language_model_learns_from_all_documents(spark, monkeypatch):
+    draw = random.Random(6)
+    letters = {"aa": "abcdef", "bb": "uvwxyzабв"}
+    texts = [(lang, " ".join("".join(draw.choices(letters[lang], k=draw.randrange(1, 9))) + draw.choice(["", ",", "7"]) for _ in range(draw.randrange(6))))
+             for lang, n in (("aa", 9000), ("bb", 300)) for _ in range(n)]
+    texts += [("bb", "z" * 150 + " 12 --"), ("aa", ""), ("aa", None), (None, "abc")]
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(texts)], "doc_id long, lang string, text string").repartition(5)
+    exact = {lang: np.zeros(language.BUCKETS) for lang in letters}
+    for lang, text in texts:
+        for word in [w for t in (text or "").split() for w in language.words_of(t)] if lang else ():
+            np.add.at(exact[lang], language.features([word])[0], 1)
+    for few in (False, True):
+        if few:
+            monkeypatch.setattr(language, "REMEMBER", 3)
+        model = language.fit(frame)
+        assert model.languages == ["aa", "bb"]
+        for k, lang in enumerate(model.languages):
+            grams = exact[lang] + language.SMOOTH
+            assert np.array_equal(model.scores[:, k], np.log(grams / grams.sum()).astype(np.float32))
+        scripts = [{s for s, fits in zip(language.SCRIPTS, column) if fits} for column in model.allowed.T]
+        assert scripts == [{"Latin"}, {"Latin", "Cyrillic"}]
+
+
 def test_unspaced_languages_are_learned(spark):
     draw = random.Random(6)
     signs = {"zh": [chr(0x4E00 + k) for k in range(0, 300, 3)], "zz": [chr(0x4E00 + k) for k in range(1, 300, 3)], "th": [chr(0x0E01 + k) for k in range(40)]}
