@@ -67,6 +67,25 @@ def test_a_day_gets_few_files_however_many_state_partitions(spark, tmp_path):
     assert rows_of(log.sessions().select(*batch.columns)) == rows_of(batch)
 
 
+def test_no_state_stays_in_memory_after_its_task(spark, tmp_path):
+    source, root = str(tmp_path / "src"), str(tmp_path / "log")
+    rows = [(str(k), f"s-{k}", k, f"2024-01-{1 + k % 2:02} 10:00:00", 5) for k in range(2000)]
+    record(spark, source, *rows, ("last", "last", 1, "2024-02-01 10:00:00", None))
+    settings = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.maxBatchesToRetainInMemory"]
+    before = [spark.conf.get(key) for key in settings]
+    log = SessionLog(spark, files.stream_clickstream(spark, source), root)
+    _finish(log.land())
+    for step in (log.close, log.count):
+        query = step()
+        _finish(query)
+        operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+        assert sum(o["numRowsUpdated"] for o in operators) >= 2000
+        # four partitions; what is left of each is the empty store
+        assert max(o["memoryUsedBytes"] for o in operators) < 4 * 2000
+    assert [spark.conf.get(key) for key in settings] == before
+    same(log, files.read_clickstream(spark, source))
+
+
 def record(spark, path, *records):
     rows = [(e, s, u, t, [{"type": "view", "time_offset": o}] if o is not None else None) for e, s, u, t, o in records]
     df = spark.createDataFrame(rows, "event_id string, session_id string, user_id long, timestamp string, "
